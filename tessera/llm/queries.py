@@ -10,12 +10,17 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.dedup_exact import exact_duplicates
 from tessera.llm.mixing import mixture
 from tessera.llm.packing import pack
+from tessera.llm.warc import round_trip
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op4_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -29,12 +34,20 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_warc_normalise": op4_warc_normalise,
     "op7_mix_sources": op7_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pack_sequences": op10_pack_sequences,
 }
 
 ORACLE_SQL: dict[str, str] = {
+    "op4_warc_normalise": """
+        WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+             f AS (SELECT body, min(page_id) AS owner FROM p WHERE octet_length(encode(body)) >= 100 GROUP BY body)
+        SELECT page_id, octet_length(encode(p.body)) AS payload_bytes, sha256(p.body) AS payload_digest,
+               CASE WHEN owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
+               CASE WHEN owner <> page_id THEN owner END AS refers_to
+        FROM p LEFT JOIN f ON p.body = f.body""",
     "op9_exact_dedup": r"""
         WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents)
