@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import atexit
+import contextlib
 import shutil
 import tempfile
 import uuid
@@ -32,7 +33,15 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    """A new path in the shared folder; what is there when this process ends goes."""
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+
+    def clear() -> None:
+        with contextlib.suppress(Exception):
+            remove(spark, path)
+
+    atexit.register(clear)
+    return path
 
 
 def materialize(df: DataFrame, name: str = "table", by: list[str] | None = None) -> DataFrame:
