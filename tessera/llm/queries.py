@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tessera.llm.dedup_exact import exact_duplicates
 from tessera.llm.fingerprints import edited_likeness
 from tessera.llm.mixing import mixture
+from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack
 from tessera.llm.warc import round_trip
 
@@ -22,6 +23,10 @@ def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(_table(spark, sf_dir, "documents"))
 
 
+def op3_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op4_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
@@ -40,6 +45,7 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
+    "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_warc_normalise": op4_warc_normalise,
     "op7_mix_sources": op7_mix_sources,
     "op9_exact_dedup": op9_exact_dedup,
