@@ -12,6 +12,7 @@ from tessera.llm.fingerprints import edited_likeness
 from tessera.llm.mixing import mixture
 from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack
+from tessera.llm.suffix_dedup import repeated_spans
 from tessera.llm.warc import round_trip
 
 
@@ -19,6 +20,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_spans(_table(spark, sf_dir, "documents")).drop("spans")
+
+
 def op2_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
     return edited_likeness(_table(spark, sf_dir, "documents"))
 
@@ -44,6 +49,7 @@ def op10_pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_suffix_dedup": op1_suffix_dedup,
     "op2_fingerprints": op2_fingerprints,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_warc_normalise": op4_warc_normalise,
