@@ -67,8 +67,10 @@ def size_in_bytes(df: DataFrame) -> int:
 
 
 def parts_for(df: DataFrame, bytes_each: int, least: int = 1) -> int:
-    """Partitions so that each holds about bytes_each of df's input, within [least, 200000]."""
-    return max(least, min(200_000, -(-size_in_bytes(df) // bytes_each)))
+    """Partitions so that each holds about bytes_each of df's input, within [least, 200000];
+    least where the optimizer has no size, as for rows made in the driver."""
+    size = size_in_bytes(df)
+    return least if size >= 1 << 60 else max(least, min(200_000, -(-size // bytes_each)))
 
 
 def join_slim(df: DataFrame, slim: DataFrame, on: list[str], how: str, most: int = BROADCAST_ROWS) -> DataFrame:
