@@ -13,6 +13,7 @@ from tessera.llm.mixing import mixture
 from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack
 from tessera.llm.suffix_dedup import repeated_spans
+from tessera.llm.toxicity import held_out_third, toxicity
 from tessera.llm.warc import round_trip
 
 
@@ -40,6 +41,10 @@ def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"), held_out_third())
+
+
 def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_duplicates(_table(spark, sf_dir, "documents")).select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
@@ -54,6 +59,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_warc_normalise": op4_warc_normalise,
     "op7_mix_sources": op7_mix_sources,
+    "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
     "op10_pack_sequences": op10_pack_sequences,
 }
