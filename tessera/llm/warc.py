@@ -41,6 +41,8 @@ from pyspark.sql import functions as F
 from tessera.shared import join_slim, materialize, new_path
 
 END = b"\r\n\r\n"
+#: Compressed bytes given to zlib at once where members are short.
+STEP = 4096
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _OUT = "archive string, kind string, data binary"
 _RECORDS = "archive string, seq long, offset long, length long, page_id long, record_id string, record_type string, uri string, payload_bytes long, payload_digest string, refers_to_id string, payload binary"
@@ -201,11 +203,14 @@ def _parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 name, data, at, seq = path.split("/archive=")[-1].split("/")[0], memoryview(content.as_buffer()), 0, 0
                 while at < len(data):
-                    inflater = zlib.decompressobj(31)
-                    record = inflater.decompress(data[at:])
-                    length = len(data) - at - len(inflater.unused_data)
-                    if not inflater.eof:
-                        raise ValueError(f"truncated member in {path}")
+                    inflater, parts, length = zlib.decompressobj(31), [], 0
+                    while not inflater.eof:  # in steps: zlib copies what it is given beyond the member
+                        piece = data[at + length : at + length + STEP]
+                        if not piece:
+                            raise ValueError(f"truncated member in {path}")
+                        parts.append(inflater.decompress(piece))
+                        length += len(piece) - len(inflater.unused_data)
+                    record = b"".join(parts)
                     if record:
                         yield (name, seq, at, length, *parse(record))
                         seq += 1
