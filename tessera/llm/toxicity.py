@@ -10,7 +10,7 @@ stops the classifier from fitting the unlabelled positives as negatives.
 Features are words (runs of letters, lower-cased) that occur or not, so length and
 repetition don't dilute a toxic word; equal word sets are one training document. Their document counts in both samples rank
 them by the z-score of the difference, and the ``features`` most distinct of those over
-``least_z`` that ``least_share`` of either sample has are used.
+given z-score that ``least_share`` of either sample has are used.
 
 Fit: from at most ``positives`` confirmed and ``unlabelled`` other documents, those
 with the least hashes of their ids (bounds of memory, not of the input). A label of
@@ -25,7 +25,6 @@ rows are scored alike. Other columns are ignored. Empty tables give no rows.
 from __future__ import annotations
 
 import re
-from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,6 +32,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.shared import join_slim, materialize
+
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -40,62 +41,60 @@ def words(text: str | None) -> set[str]:
     return set(LETTERS.findall((text or "").lower()))
 
 
-def _sample(docs: DataFrame, most: int, seed: int) -> list[list[str]]:
-    """Words of the documents with the least hashes of their ids, most at most. Only ids and hashes are sorted."""
+def _sample(docs: DataFrame, most: int, seed: int) -> DataFrame:
+    """Distinct word sets of the documents with the least hashes of their ids, most documents at most."""
     h = F.xxhash64(F.lit(seed), F.col("doc_id"))
     total = docs.count()
     if total > most:
         # The hash is uniform: a threshold at the wanted share, a little high, then the exact cut.
         share = min(1.0, 1.1 * most / total + 50 / total)
         docs = docs.filter(h < F.lit(int(-(1 << 63) + share * ((1 << 64) - 1))))
-    rows = docs.select(h.alias("h"), F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))).alias("words"))
-    return [r.words for r in rows.orderBy("h").limit(most).collect()]
+    found = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))))
+    cut = docs.select(h.alias("h")).orderBy("h").limit(most).agg(F.max("h").alias("last"))
+    rows = docs.withColumn("h", h).join(F.broadcast(cut), F.col("h") <= F.col("last")).select(found.alias("words"))
+    return materialize(rows.groupBy(F.xxhash64("words").alias("h")).agg(F.first("words").alias("words")).select("words"), "sample")
 
 
-def fit(pos: list[list[str]], unl: list[list[str]], prior: float, features: int = 500, least_z: float = 3.5, least_share: float = 0.05, least_docs: int = 5, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4) -> tuple[dict[str, float], float]:
-    """Weights by word, and the bias."""
-    if not pos or not unl:
-        return {}, -30.0
-    pos, unl = ([list(d) for d in sorted({tuple(sorted(set(d))) for d in docs})] for docs in (pos, unl))
-    in_p, in_u = Counter(w for d in pos for w in set(d)), Counter(w for d in unl for w in set(d))
-    n_p, n_u = len(pos), len(unl)
+def distinct_words(in_p: dict[str, int], in_u: dict[str, int], n_p: int, n_u: int, features: int = 500, least_z: float = 3.5) -> list[str]:
+    """The words whose document counts differ most between the samples, by z-score."""
 
     def z(w: str) -> float:
-        a, b = in_p[w] / n_p, in_u[w] / n_u
-        m = (in_p[w] + in_u[w]) / (n_p + n_u)
+        a, b = in_p.get(w, 0) / n_p, in_u.get(w, 0) / n_u
+        m = (in_p.get(w, 0) + in_u.get(w, 0)) / (n_p + n_u)
         return abs(a - b) / (m * (1 - m) * (1 / n_p + 1 / n_u) + 1e-12) ** 0.5
 
-    def common(w: str) -> bool:
-        return in_p[w] >= max(least_docs, least_share * n_p) or in_u[w] >= max(least_docs, least_share * n_u)
+    ranked = sorted(in_p.keys() | in_u.keys(), key=lambda w: (-z(w), w))
+    return [w for w in ranked[:features] if z(w) > least_z]
+
 
-    ranked = sorted((w for w in in_p.keys() | in_u.keys() if common(w)), key=lambda w: (-z(w), w))
-    column = {w: i for i, w in enumerate(w for w in ranked[:features] if z(w) > least_z)}
-    if not column:
+def fit(pos: list[list[str]], unl: list[list[str]], names: list[str], prior: float, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4) -> tuple[dict[str, float], float]:
+    """Weights by word, and the bias, from documents given by their words among names."""
+    if not pos or not unl or not names:
         return {}, -30.0
+    column = {w: i for i, w in enumerate(names)}
 
     def matrix(docs: list[list[str]]) -> np.ndarray:
         x = np.zeros((len(docs), len(column)), np.float32)
         for i, d in enumerate(docs):
-            x[i, [column[w] for w in set(d) if w in column]] = 1
+            x[i, [column[w] for w in d]] = 1
         return x
 
-    x_p, x_u = matrix(pos).astype(np.float64), matrix(unl).astype(np.float64)
-    w, b, moments = np.zeros(len(column)), float(np.log(prior / (1 - prior))), [np.zeros(len(column) + 1), np.zeros(len(column) + 1)]
+    x_p, x_u, n_p, n_u = matrix(pos), matrix(unl), len(pos), len(unl)
+    w, b, moments = np.zeros(len(column), np.float32), np.float32(np.log(prior / (1 - prior))), [np.zeros(len(column) + 1, np.float32), np.zeros(len(column) + 1, np.float32)]
     sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
     for step in range(1, steps + 1):
         s_p, s_u = sigmoid(x_p @ w + b), sigmoid(x_u @ w + b)
-        negative = -np.log(1 - s_u + 1e-12).mean() + prior * np.log(1 - s_p + 1e-12).mean()
+        negative = -np.log(1 - s_u + 1e-7).mean() + prior * np.log(1 - s_p + 1e-7).mean()
         # Gradients with respect to f: of l(f) it is s - 1, of l(-f) it is s.
-        g_p, g_u = prior * (s_p - 1) / n_p, np.zeros(n_u)
         if negative >= 0:
-            g_p, g_u = g_p - prior * s_p / n_p, s_u / n_u
+            g_p, g_u = prior * (s_p - 1) / n_p - prior * s_p / n_p, s_u / n_u
         else:
             g_p, g_u = prior * s_p / n_p, -s_u / n_u
-        g = np.append(x_p.T @ g_p + x_u.T @ g_u + decay * w, g_p.sum() + g_u.sum())
+        g = np.append(g_p @ x_p + g_u @ x_u + decay * w, g_p.sum() + g_u.sum()).astype(np.float32)
         moments[0] = 0.9 * moments[0] + 0.1 * g
         moments[1] = 0.999 * moments[1] + 0.001 * g * g
         move = rate * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-8)
-        w, b = w - move[:-1], b - move[-1]
+        w, b = w - move[:-1].astype(np.float32), b - move[-1]
     return {word: float(w[i]) for word, i in column.items() if abs(w[i]) > 1e-3}, float(b)
 
 
@@ -111,15 +110,33 @@ def score_column(model: tuple[dict[str, float], float], text: Column) -> Column:
     return score(text)
 
 
-def train(docs: DataFrame, labels: DataFrame, held_out: Column, positives: int = 4000, unlabelled: int = 12_000, seed: int = 8, prior: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[dict[str, float], float]:
-    """The model. held_out (a condition on doc_id) keeps labels and texts out of training."""
+def train(docs: DataFrame, labels: DataFrame, held_out: Column, positives: int = 4000, unlabelled: int = 12_000, least_share: float = 0.05, least_docs: int = 5, seed: int = 8, prior: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[dict[str, float], float]:
+    """The model. held_out (a condition on doc_id) keeps labels and texts out of training.
+    Words are counted by Spark; the driver gets those that at least least_share and
+    least_docs of a sample have, and each sampled document's words among the chosen ones."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(~held_out)
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y")).filter(~held_out).filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
+    marks = materialize(marks, "marks")
     if prior is None:
-        seen = marks.agg(F.avg(F.col("y").cast("double"))).first()[0]
-        prior = min(0.9, max(0.001, seen or 0.001))
-    toxic = slim.join(marks.filter("y = 1").select("doc_id"), "doc_id", "left_semi")
-    return fit(_sample(toxic, positives, seed), _sample(slim, unlabelled, seed + 1), prior)
+        prior = min(0.9, max(0.001, marks.agg(F.avg(F.col("y").cast("double"))).first()[0] or 0.001))
+    toxic = join_slim(slim, marks.filter("y = 1").select("doc_id"), ["doc_id"], "left_semi")
+    samples = [_sample(toxic, positives, seed), _sample(slim, unlabelled, seed + 1)]
+    sizes, counts = [s.count() for s in samples], []
+    for sample, n in zip(samples, sizes, strict=True):
+        often = sample.select(F.explode("words").alias("w")).groupBy("w").count().filter(F.col("count") >= max(least_docs, least_share * n))
+        counts.append({r.w: r["count"] for r in often.collect()})
+    if not all(sizes):
+        return fit([], [], [], prior)
+    # A word that one sample has often needs its exact count in the other.
+    names = sorted(counts[0].keys() | counts[1].keys())
+    known = docs.sparkSession.createDataFrame([(w,) for w in names], "w string")
+    for sample, have in zip(samples, counts, strict=True):
+        rest = sample.select(F.explode("words").alias("w")).join(F.broadcast(known), "w").groupBy("w").count()
+        have.update({r.w: r["count"] for r in rest.collect()})
+    chosen = distinct_words(*counts, *sizes)
+    only = F.array_intersect("words", F.array(*map(F.lit, chosen)) if chosen else F.array().cast("array<string>"))
+    pos, unl = ([r.words for r in sample.select(only.alias("words")).collect()] for sample in samples)
+    return fit(pos, unl, chosen, prior)
 
 
 def toxicity(docs: DataFrame, labels: DataFrame, held_out: Column, threshold: float = 0.7, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
