@@ -10,8 +10,8 @@ with probability sum(min weights) / sum(max weights), the generalised Jaccard
 similarity, so the share of equal samples estimates it with a standard deviation
 of at most 0.5 / sqrt(SAMPLES).
 
-ln a and a code of (term, t) are packed in one long, so that a sample is a plain
-min() in a hash aggregation. The fingerprint has four hex digits a sample.
+ln a, which tells t apart, and a code of the term are packed in one long, so that a
+sample is a plain min() in a hash aggregation. The fingerprint has four hex digits a sample.
 
 ``edited_likeness`` needs each row's successor in descending id order. Rows are
 dealt by bucket of the id range (quantiles, then linear steps), and the first row
@@ -48,22 +48,17 @@ def _uniforms(h: Column) -> tuple[Column, Column]:
     return ((F.shiftrightunsigned(h, 32) + F.lit(0.5)) / scale, (h.bitwiseAND(F.lit(0xFFFFFFFF)) + F.lit(0.5)) / scale)
 
 
-def _draws(term: str, k: int) -> dict[str, Column]:
-    one, two = F.xxhash64(F.col(term), F.lit(2 * k)), F.xxhash64(F.col(term), F.lit(2 * k + 1))
-    (u1, u2), (u3, u4) = _uniforms(one), _uniforms(two)
-    # b: from the product's low bits would not be independent; a third hash is.
-    three = F.xxhash64(F.col(term), F.lit(-k - 1))
-    return {f"r{k}": -F.log(u1 * u2), f"c{k}": F.log(-F.log(u3 * u4)), f"h{k}": three}
-
-
-def sample(k: int, log_weight: Column) -> Column:
-    """The packed sample of a term whose draws r, c and h number k are columns."""
-    r, c, h = F.col(f"r{k}"), F.col(f"c{k}"), F.col(f"h{k}")
-    b = (F.shiftrightunsigned(h, 24) + F.lit(0.5)) / float(1 << 40)
-    t = F.floor(log_weight / r + b)
-    log_a = c - r * (t - b) - r
-    code = (h.bitwiseAND(F.lit(0xFFFFFF)) + t * F.lit(0x9E3779)).bitwiseAND(F.lit(0xFFFFFF))
-    return ((log_a + 128.0) * float(1 << 31)).cast("long") * F.lit(1 << 24) + code
+def sample(k: int, term: Column, log_weight: Column) -> Column:
+    """The packed sample number k of a term with this weight. The draws depend on term and
+    k alone and are spelled out here, not selected first, so that code generation shares them
+    between sides and compiles each sample as a method of its own."""
+    (u1, u2), (u3, u4) = _uniforms(F.xxhash64(term, F.lit(2 * k))), _uniforms(F.xxhash64(term, F.lit(2 * k + 1)))
+    h = F.xxhash64(term, F.lit(-k - 1))
+    r, b = -F.log(u1 * u2), (F.shiftrightunsigned(h, 24) + F.lit(0.5)) / float(1 << 40)
+    # ln a = ln c - r (t - b) - r, without t: the same for all weights.
+    base = F.log(-F.log(u3 * u4)) + r * b - r
+    log_a = base - r * F.floor(log_weight / r + b)
+    return F.shiftleft(((log_a + 128.0) * float(1 << 31)).cast("long"), 24).bitwiseOR(h.bitwiseAND(F.lit(0xFFFFFF)))
 
 
 def _signature(columns: list[Column]) -> Column:
@@ -79,8 +74,8 @@ def likeness(a: str, b: str, samples: int) -> Column:
 def _sampled(exploded: DataFrame, keys: list[str], sides: int, samples: int) -> DataFrame:
     """exploded: keys, term (64-bit hash), side. One row per key with fingerprint columns f0, f1 ..."""
     counted = exploded.groupBy(*keys, "term").agg(*[F.count(F.when(F.col("side") == s, 1)).alias(f"n{s}") for s in range(sides)])
-    drawn = counted.select(*keys, *[F.when(F.col(f"n{s}") > 0, F.log(F.col(f"n{s}").cast("double"))).alias(f"w{s}") for s in range(sides)], *[c.alias(n) for k in range(samples) for n, c in _draws("term", k).items()])
-    least = drawn.groupBy(*keys).agg(*[F.min(sample(k, F.col(f"w{s}"))).alias(f"v{s}_{k}") for s in range(sides) for k in range(samples)])
+    drawn = counted.select(*keys, *[F.when(F.col(f"n{s}") > 0, F.log(F.col(f"n{s}").cast("double"))).alias(f"w{s}") for s in range(sides)], "term")
+    least = drawn.groupBy(*keys).agg(*[F.min(sample(k, F.col("term"), F.col(f"w{s}"))).alias(f"v{s}_{k}") for s in range(sides) for k in range(samples)])
     return least.select(*keys, *[_signature([F.col(f"v{s}_{k}") for k in range(samples)]).alias(f"f{s}") for s in range(sides)])
 
 
@@ -108,8 +103,8 @@ def _bucketed(slim: DataFrame, rows_each: int) -> tuple[Column, int]:
 
 def edited_likeness(docs: DataFrame, samples: int = SAMPLES, rows_each: int = 500, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per document: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next."""
-    slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    slim = slim.withColumn("k", F.coalesce("doc_id", F.lit(-(1 << 63)).cast("long")))
+    none = F.lit(-(1 << 63)).cast("long")
+    slim = docs.select(F.coalesce(F.col(id_col).cast("long"), none).alias("k"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
     bucket, _ = _bucketed(slim.select("k"), rows_each)
     heads = slim.select("k", bucket.alias("bucket")).groupBy("bucket").agg(F.max("k").alias("k"))
     # At most MOST_BUCKETS rows. Each bucket's highest row also ends the bucket above; that of the top bucket ends the lowest.
@@ -118,10 +113,9 @@ def edited_likeness(docs: DataFrame, samples: int = SAMPLES, rows_each: int = 50
     rows = slim.withColumn("bucket", bucket).join(F.broadcast(heads), "k", "left")
     own = F.struct(F.col("bucket"), F.lit(0).alias("guard"))
     dealt = F.when(F.col("above").isNull(), F.array(own)).otherwise(F.array(own, F.struct(F.col("above").alias("bucket"), F.lit(1).alias("guard"))))
-    rows = rows.select("doc_id", "k", "text", F.explode(dealt).alias("to")).select("doc_id", "k", "text", "to.bucket", "to.guard")
+    rows = rows.select("k", "text", F.explode(dealt).alias("to")).select("k", "text", "to.bucket", "to.guard")
     order = Window.partitionBy("bucket").orderBy("guard", F.desc("k"), F.xxhash64("text"))
-    rows = rows.select("bucket", "doc_id", "guard", "text", F.lead("text").over(order).alias("next"), F.row_number().over(order).alias("row"))
-    half = F.floor(F.length("text") / 2).cast("int")
+    rows = rows.select("bucket", "k", "guard", "text", F.lead("text").over(order).alias("next"), F.row_number().over(order).alias("row"))
     edited = F.concat(F.expr("substr(text, 1, length(text) - cast(floor(length(text) / 2) as int))"), F.expr("substr(next, 1, cast(floor(length(text) / 2) as int))"))
     rows = rows.withColumn("edited", F.when(F.col("guard") == 0, edited))
     both = F.array(F.struct(F.lit(0).alias("side"), words(F.col("text")).alias("words")), F.struct(F.lit(1).alias("side"), words(F.col("edited")).alias("words")))
@@ -130,5 +124,6 @@ def edited_likeness(docs: DataFrame, samples: int = SAMPLES, rows_each: int = 50
     found = _sampled(exploded, ["bucket", "row"], 2, samples)
     found = found.withColumn("f2", F.lead("f0").over(Window.partitionBy("bucket").orderBy("row")))
     found = found.select("bucket", "row", F.col("f0").alias("fingerprint"), F.col("f1").alias("edited_fingerprint"), likeness("f0", "f1", samples).alias("near_edited"), likeness("f0", "f2", samples).alias("near_next"))
-    about = rows.filter("guard = 0").select("bucket", "row", "doc_id", F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
+    # The same columns as above, so that both branches read one shuffle.
+    about = rows.filter("guard = 0").select("bucket", "row", F.when(F.col("k") != none, F.col("k")).alias("doc_id"), F.length("text").cast("long").alias("n_chars"), F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"))
     return about.join(found, ["bucket", "row"]).select("doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next")
