@@ -7,8 +7,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tessera.llm import licenses
 from tessera.llm.dedup_exact import exact_duplicates
 from tessera.llm.fingerprints import edited_likeness
+from tessera.llm.language_id import held_out_quarter, identify, train
 from tessera.llm.mixing import mixture
 from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack
@@ -37,6 +39,16 @@ def op4_warc_normalise(spark: SparkSession, sf_dir: str) -> DataFrame:
     return round_trip(_table(spark, sf_dir, "pages")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    model = train(docs.filter(~held_out_quarter()))
+    return identify(docs, model).select("doc_id", held_out_quarter().alias("held_out"), "lang_pred", "score")
+
+
+def op6_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(_table(spark, sf_dir, "documents"))
+
+
 def op7_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixture(_table(spark, sf_dir, "documents")).select("doc_id", "size", "source_size", "target", "taken")
 
@@ -58,6 +70,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_fingerprints": op2_fingerprints,
     "op3_ngram_jaccard": op3_ngram_jaccard,
     "op4_warc_normalise": op4_warc_normalise,
+    "op5_language_id": op5_language_id,
+    "op6_license_scan": op6_license_scan,
     "op7_mix_sources": op7_mix_sources,
     "op8_toxicity": op8_toxicity,
     "op9_exact_dedup": op9_exact_dedup,
@@ -72,6 +86,7 @@ ORACLE_SQL: dict[str, str] = {
                CASE WHEN owner <> page_id THEN 'revisit' ELSE 'response' END AS record_type,
                CASE WHEN owner <> page_id THEN owner END AS refers_to
         FROM p LEFT JOIN f ON p.body = f.body""",
+    "op6_license_scan": licenses.oracle_sql(),
     "op9_exact_dedup": r"""
         WITH n AS (SELECT doc_id, length(coalesce(text, '')) AS chars,
                           regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]', '', 'g') AS body FROM documents)
