@@ -77,3 +77,31 @@ def join_slim(df: DataFrame, slim: DataFrame, on: list[str], how: str, most: int
     """Joins df with a materialized slim table: broadcast if the table's counted
     rows are within ``most``, else a shuffle join that AQE may split."""
     return df.join(F.broadcast(slim) if slim.limit(most + 1).count() <= most else slim, on, how)
+
+
+def release_memory() -> None:
+    """Gives a Python worker's freed memory back to the machine: workers live as long as their
+    executor, and what one stage's arrays took would be missing in the next."""
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(OSError, AttributeError):
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+
+
+def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
+    """df.mapInArrow(run, schema) that gives freed memory back after every batch it reads and at its end."""
+
+    def read(batches):
+        for batch in batches:
+            yield batch
+            del batch
+            release_memory()
+
+    def whole(batches):
+        yield from run(read(batches))
+        release_memory()
+
+    return df.mapInArrow(whole, schema)
