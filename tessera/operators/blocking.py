@@ -81,7 +81,10 @@ def exact_key_pairs(s1: DataFrame, pool: DataFrame, kinds: tuple = tuple(CAPS),
     """country, s1_id, pool_id that share a key, all key types in one join."""
 
     def exploded(df: DataFrame, ident: str) -> DataFrame:
-        all_keys = F.flatten(F.array(*[F.transform(keys(df, k), lambda x, k=k: F.struct(F.lit(k).alias("kind"), x.alias("key"))) for k in kinds]))
+        def typed(kind: str) -> Column:
+            return F.transform(keys(df, kind), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))
+
+        all_keys = F.flatten(F.array(*map(typed, kinds)))
         return df.select("country", F.col("eid").alias(ident), F.explode(all_keys).alias("_k")).select("country", ident, "_k.kind", "_k.key")
 
     limit = lambda i: reduce(lambda c, k: c.when(F.col("kind") == k, caps[k][i]), kinds, F.when(F.lit(False), 0))

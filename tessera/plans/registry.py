@@ -1,7 +1,7 @@
 """Queries over the test tables, one or more per operator, and SQL that gives the same rows.
 
 Documents serve as business records (``records``): the id's residue gives the
-source, lang the country, source the partition, the first 96 characters the name.
+source, lang the country, the first 96 characters the name, its first letter the partition.
 Numbers that are sums of floats are rounded to six places on both sides.
 """
 
@@ -41,10 +41,10 @@ def query(sql: str | None = None):
     return add
 
 
-RECORDS = f"""r AS (SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN 1 ELSE 2 + doc_id % 2 END AS src, lang AS country, source AS part,
+RECORDS = f"""r AS (SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN 1 ELSE 2 + doc_id % 2 END AS src, lang AS country, substr(trim(regexp_replace(translate(lower(substr(coalesce(text, ''), 1, 96)), '{T.ACCENTED}', '{T.PLAIN}'), '[^a-z0-9]+', ' ', 'g')), 1, 1) AS part,
     trim(regexp_replace(translate(lower(substr(coalesce(text, ''), 1, 96)), '{T.ACCENTED}', '{T.PLAIN}'), '[^a-z0-9]+', ' ', 'g')) AS name FROM documents) """
 PAIRS = ", p AS (SELECT a.country, a.id AS s1_id, b.id AS pool_id, list_distinct(list_filter(string_split(a.name, ' '), lambda x: x <> '')) AS ta, list_distinct(list_filter(string_split(b.name, ' '), lambda x: x <> '')) AS tb, a.name AS na, b.name AS nb FROM r a JOIN r b ON a.country = b.country AND a.part = b.part AND a.src = 1 AND b.src > 1) "
-SCORED = ", c AS (SELECT l_orderkey AS s1_id, l_partkey AS pool_id, l_linenumber AS line, l_discount * 10 AS p, CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END AS y FROM lineitem) "
+SCORED = ", c AS (SELECT l_orderkey AS s1_id, l_partkey AS pool_id, max(l_discount) * 10 AS p, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS y FROM lineitem GROUP BY ALL) "
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -54,7 +54,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = table(spark, sf_dir, "documents")
     src = F.when(F.col("doc_id") % 4 == 0, 1).otherwise((2 + F.col("doc_id") % 2).cast("int"))
-    return d.select(F.col("doc_id").alias("id"), src.alias("src"), F.col("lang").alias("country"), F.col("source").alias("part"), T.simple_name(F.col("text")).alias("name"))
+    return d.select(F.col("doc_id").alias("id"), src.alias("src"), F.col("lang").alias("country"), T.simple_name(F.col("text")).alias("name")).withColumn("part", F.substring("name", 1, 1)).select("id", "src", "country", "part", "name")
 
 
 def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -68,7 +68,8 @@ def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Line items as scored pairs: orders as entities, parts as pool records."""
-    return table(spark, sf_dir, "lineitem").select(F.col("l_orderkey").alias("s1_id"), F.col("l_partkey").alias("pool_id"), F.col("l_linenumber").alias("line"), (F.col("l_discount") * 10).alias("p"), (F.col("l_returnflag") == "R").cast("int").alias("y"))
+    rows = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("s1_id"), F.col("l_partkey").alias("pool_id"))
+    return rows.agg((F.max("l_discount") * 10).alias("p"), F.max((F.col("l_returnflag") == "R").cast("int")).alias("y"))
 
 
 def r6(df: DataFrame, *names: str) -> DataFrame:
@@ -239,10 +240,10 @@ def capped_key_join(spark, sf_dir):
     return B.capped_join(side("src = 1", "s1_id"), side("src > 1", "pool_id"), ["country", "t"], F.lit(4), F.lit(30)).select("s1_id", "pool_id").distinct()
 
 
-@query(PAIRS + "SELECT s1_id, pool_id, bit_or(ch) AS ch, (bit_or(ch) & 8 > 0)::INT AS by_key FROM (SELECT s1_id, pool_id, 1 AS ch FROM p WHERE len(list_intersect(ta, tb)) >= 3 UNION ALL SELECT s1_id, pool_id, 8 AS ch FROM p WHERE na = nb UNION ALL SELECT s1_id, pool_id, 16 AS ch FROM p WHERE ta[1] = tb[1]) GROUP BY ALL")
+@query(PAIRS + "SELECT s1_id, pool_id, bit_or(ch) AS ch, (bit_or(ch) & 8 > 0)::INT AS by_key FROM (SELECT s1_id, pool_id, 1 AS ch FROM p WHERE len(list_intersect(ta, tb)) >= 3 UNION ALL SELECT s1_id, pool_id, 8 AS ch FROM p WHERE na = nb UNION ALL SELECT s1_id, pool_id, 16 AS ch FROM p WHERE split_part(na, ' ', 1) = split_part(nb, ' ', 1)) GROUP BY ALL")
 def channel_union(spark, sf_dir):
     p, ids = pairs(spark, sf_dir), ["country", "s1_id", "pool_id"]
-    parts = [p.filter(c).select(*ids, F.lit(bit).alias("ch")) for c, bit in (("size(array_intersect(ta, tb)) >= 3", B.NAME), ("na = nb", B.KEY), ("get(ta, 0) = get(tb, 0)", B.REV))]
+    parts = [p.filter(c).select(*ids, F.lit(bit).alias("ch")) for c, bit in (("size(array_intersect(ta, tb)) >= 3", B.NAME), ("na = nb", B.KEY), ("split_part(na, ' ', 1) = split_part(nb, ' ', 1)", B.REV))]
     return B.union_channels(parts).select("s1_id", "pool_id", "ch", (F.col("ch").bitwiseAND(F.lit(B.KEY)) > 0).cast("int").alias("by_key"))
 
 
@@ -256,15 +257,15 @@ def blocked_candidates(spark, sf_dir):
 # Groups and windows
 
 
-@query(SCORED + "SELECT s1_id, pool_id, line, row_number() OVER w - 1 AS p_rank1, round(max(p) OVER g - p, 6) AS p_gap1, max(p) OVER g AS p_best1, count(*) OVER g AS group_size1 FROM c WINDOW g AS (PARTITION BY s1_id), w AS (PARTITION BY s1_id ORDER BY p DESC, line)")
+@query(SCORED + "SELECT s1_id, pool_id, row_number() OVER w - 1 AS p_rank1, round(max(p) OVER g - p, 6) AS p_gap1, max(p) OVER g AS p_best1, count(*) OVER g AS group_size1 FROM c WINDOW g AS (PARTITION BY s1_id), w AS (PARTITION BY s1_id ORDER BY p DESC, pool_id)")
 def group_ranks(spark, sf_dir):
-    return r6(W.rank_gap(scored(spark, sf_dir), "s1_id", "p", "line", "1").drop("p", "y"), "p_gap1")
+    return r6(W.rank_gap(scored(spark, sf_dir), "s1_id", "p", "pool_id", "1").drop("p", "y"), "p_gap1")
 
 
-@query(SCORED + "SELECT s1_id, line, coalesce(nth_value(p, 2) OVER w, 0) AS second, round(sum(p) OVER g, 6) AS total, count(*) FILTER (p >= 0.5) OVER g AS half, round(sum(p) OVER g - p, 6) AS others, round(CASE WHEN max(p) OVER g > 0 THEN p / greatest(max(p) OVER g, 1e-6) ELSE 0 END, 6) AS relative, round(sum(y) OVER (PARTITION BY s1_id ORDER BY p DESC, line ROWS UNBOUNDED PRECEDING), 6) AS hits FROM c WINDOW g AS (PARTITION BY s1_id), w AS (PARTITION BY s1_id ORDER BY p DESC, line ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
+@query(SCORED + "SELECT s1_id, pool_id, coalesce(nth_value(p, 2) OVER w, 0) AS second, round(sum(p) OVER g, 6) AS total, count(*) FILTER (p >= 0.5) OVER g AS half, round(sum(p) OVER g - p, 6) AS others, round(CASE WHEN max(p) OVER g > 0 THEN p / greatest(max(p) OVER g, 1e-6) ELSE 0 END, 6) AS relative, round(sum(y) OVER (PARTITION BY s1_id ORDER BY p DESC, pool_id ROWS UNBOUNDED PRECEDING), 6) AS hits FROM c WINDOW g AS (PARTITION BY s1_id), w AS (PARTITION BY s1_id ORDER BY p DESC, pool_id ROWS BETWEEN UNBOUNDED PRECEDING AND UNBOUNDED FOLLOWING)")
 def group_statistics(spark, sf_dir):
     total, half = W.sum_and_count("s1_id", "p", 0.5)
-    out = scored(spark, sf_dir).select("s1_id", "line", W.second_best("s1_id", "p", "line").alias("second"), total.alias("total"), half.alias("half"), W.others("s1_id", "p").alias("others"), W.relative("s1_id", "p").alias("relative"), W.running_sum("s1_id", "y", [F.desc("p"), F.asc("line")]).alias("hits"))
+    out = scored(spark, sf_dir).select("s1_id", "pool_id", W.second_best("s1_id", "p", "pool_id").alias("second"), total.alias("total"), half.alias("half"), W.others("s1_id", "p").alias("others"), W.relative("s1_id", "p").alias("relative"), W.running_sum("s1_id", "y", [F.desc("p"), F.asc("pool_id")]).alias("hits"))
     return r6(out, "total", "others", "relative", "hits")
 
 
@@ -274,15 +275,15 @@ def best_claimants(spark, sf_dir):
     return W.best_claimants(best, "pool_id", "s1_id", "p", F.col("p") >= 0.3)
 
 
-@query(SCORED + ", k AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, line) AS rn FROM c) SELECT s1_id, array_to_string(list(line ORDER BY rn) FILTER (rn <= 3), ',') AS items, round(coalesce(sum(p) FILTER (rn > 3), 0), 6) AS tail FROM k GROUP BY s1_id")
+@query(SCORED + ", k AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, pool_id) AS rn FROM c) SELECT s1_id, array_to_string(list(pool_id ORDER BY rn) FILTER (rn <= 3), ',') AS items, round(coalesce(sum(p) FILTER (rn > 3), 0), 6) AS tail FROM k GROUP BY s1_id")
 def lists_with_tail(spark, sf_dir):
-    out = W.lists_with_tail(scored(spark, sf_dir), "s1_id", "p", "line", 3)
+    out = W.lists_with_tail(scored(spark, sf_dir), "s1_id", "p", "pool_id", 3)
     return r6(out.select("s1_id", F.array_join(F.transform("items", lambda x: x.cast("string")), ",").alias("items"), "tail"), "tail")
 
 
-@query(SCORED + ", k AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, line) - 1 AS rk FROM c) SELECT s1_id, line, p FROM k WHERE (p >= 0.8 OR rk < 2) AND rk < 3")
+@query(SCORED + ", k AS (SELECT *, row_number() OVER (PARTITION BY s1_id ORDER BY p DESC, pool_id) - 1 AS rk FROM c) SELECT s1_id, pool_id, p FROM k WHERE (p >= 0.8 OR rk < 2) AND rk < 3")
 def pruned(spark, sf_dir):
-    return W.prune(scored(spark, sf_dir), "s1_id", "line", "p", 0.8, 2, 3).select("s1_id", "line", "p")
+    return W.prune(scored(spark, sf_dir), "s1_id", "pool_id", "p", 0.8, 2, 3).select("s1_id", "pool_id", "p")
 
 
 @query(", k AS (SELECT l_partkey AS part, l_returnflag AS flag, count(*) AS n FROM lineitem GROUP BY ALL) SELECT part, flag, round(n / total::DOUBLE, 6) AS share, total FROM (SELECT part, flag, n, sum(n) OVER (PARTITION BY part)::BIGINT AS total FROM k) WHERE total >= 5 QUALIFY row_number() OVER (PARTITION BY part ORDER BY n DESC, flag) = 1 AND n / total::DOUBLE >= 0.5")
@@ -315,14 +316,14 @@ def weighted_sets(spark, sf_dir):
 
 # Regions, roles, decisions, metrics
 
-_PLACES = ", s AS (SELECT s_suppkey AS eid, n_name, [s_name, n_name, CASE s_suppkey % 4 WHEN 0 THEN 'TX' WHEN 1 THEN 'Nevada' WHEN 2 THEN 'Town of Ohio' ELSE 'Springfield' END, CASE s_suppkey % 7 WHEN 0 THEN 'CA' ELSE 'Plaza' END] AS comps FROM supplier JOIN nation ON s_nationkey = n_nationkey) "
+_PLACES = ", s AS (SELECT s_suppkey AS eid, 'place ' || chr(97 + n_nationkey) AS n_name, [s_name, 'place ' || chr(97 + n_nationkey), CASE s_suppkey % 4 WHEN 0 THEN 'TX' WHEN 1 THEN 'Nevada' WHEN 2 THEN 'Town of Ohio' ELSE 'Springfield' END, CASE s_suppkey % 7 WHEN 0 THEN 'CA' ELSE 'Plaza' END] AS comps FROM supplier JOIN nation ON s_nationkey = n_nationkey) "
 
 
 def _places(spark, sf_dir):
     s = table(spark, sf_dir, "supplier").join(table(spark, sf_dir, "nation"), F.col("s_nationkey") == F.col("n_nationkey"))
     third = F.when(F.col("s_suppkey") % 4 == 0, "TX").when(F.col("s_suppkey") % 4 == 1, "Nevada").when(F.col("s_suppkey") % 4 == 2, "Town of Ohio").otherwise("Springfield")
     fourth = F.when(F.col("s_suppkey") % 7 == 0, "CA").otherwise("Plaza")
-    return s.select(F.col("s_suppkey").alias("eid"), F.lit("us").alias("country"), F.array("s_name", "n_name", third, fourth).alias("a_comps"))
+    return s.select(F.col("s_suppkey").alias("eid"), F.lit("us").alias("country"), F.array("s_name", F.concat(F.lit("place "), F.char(97 + F.col("n_nationkey"))), third, fourth).alias("a_comps"))
 
 
 @query(_PLACES + "SELECT eid, 'us' AS country, CASE WHEN eid % 7 = 0 AND eid % 4 < 2 THEN '' WHEN eid % 7 = 0 THEN 'ca' WHEN eid % 4 = 0 THEN 'tx' WHEN eid % 4 = 1 THEN 'nv' WHEN eid % 4 = 2 THEN 'oh' ELSE '' END AS region, CASE WHEN eid % 7 = 0 AND eid % 4 < 2 THEN -1 WHEN eid % 7 = 0 THEN 3 WHEN eid % 4 < 3 THEN 2 ELSE -1 END AS comp_index FROM s")
@@ -474,7 +475,7 @@ def stage_features(spark, sf_dir):
 def calibrated_scores(spark, sf_dir):
     rows = scored(spark, sf_dir)
     grid = L.calibration(rows, "p", "y")
-    return rows.select("s1_id", "line", L.calibrated(F.col("p"), grid).alias("pc"))
+    return rows.select("s1_id", "pool_id", L.calibrated(F.col("p"), grid).alias("pc"))
 
 
 @query()

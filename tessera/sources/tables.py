@@ -34,7 +34,7 @@ def truth_pairs(lines: DataFrame, text: str = "value", order: str | None = None)
     rows = lines.select(order_col.alias("_o"), F.split(F.col(text), "\t", 2).alias("_p")).filter(F.size("_p") == 2)
     rows = rows.select("_o", F.col("_p")[0].alias("entity"), F.col("_p")[1].alias("ids")).filter(F.col("entity") != "source1_entity_id")
     last = rows.groupBy("entity").agg(F.max_by("ids", "_o").alias("ids"))
-    ids = F.filter(F.transform(F.split("ids", ","), F.trim), lambda x: x != "")
+    ids = F.filter(F.transform(F.split("ids", ","), lambda t: F.trim(t)), lambda x: x != "")
     return last.select("entity", F.explode(ids).alias("pool"))
 
 
@@ -79,7 +79,7 @@ def id_lists(entities: DataFrame, pairs: DataFrame, entity: str, item: str, chos
 
 def exploded_lists(lists: DataFrame, entity: str, ids: str = "ids") -> DataFrame:
     """entity, item of comma lists, with repetitions."""
-    return lists.select(entity, F.explode(F.filter(F.transform(F.split(ids, ","), F.trim), lambda x: x != "")).alias("item"))
+    return lists.select(entity, F.explode(F.filter(F.transform(F.split(ids, ","), lambda t: F.trim(t)), lambda x: x != "")).alias("item"))
 
 
 def save_dictionary(df: DataFrame, path: str) -> None:
