@@ -4,8 +4,11 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import gc
 import shutil
+import sys
 import tempfile
+import types
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -91,6 +94,12 @@ def release_memory() -> None:
         ctypes.CDLL("libc.so.6").malloc_trim(0)
 
 
+def process_cache() -> dict:
+    """A dictionary of this process. Functions reach workers by value with copies of their module's
+    globals, so a global there lasts for a task only; this lasts as long as the worker."""
+    return sys.modules.setdefault("_tessera_cache", types.ModuleType("_tessera_cache")).__dict__
+
+
 def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
     """df.mapInArrow(run, schema) that gives freed memory back after every batch it reads and at its end."""
 
@@ -102,6 +111,7 @@ def map_arrow(df: DataFrame, run, schema: str) -> DataFrame:
 
     def whole(batches):
         yield from run(read(batches))
+        gc.collect()
         release_memory()
 
     return df.mapInArrow(whole, schema)
