@@ -21,7 +21,6 @@ gives no rows.
 from __future__ import annotations
 
 import re
-import zlib
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -30,7 +29,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tessera.shared import materialize
+from tessera.llm.shingles import mix
+from tessera.shared import map_arrow, materialize
 
 BUCKETS = 1 << 16
 WEIGHT = 2.0
@@ -45,31 +45,54 @@ def script_of(word: str) -> str:
     return SCRIPTS[bisect_right(_STARTS, ord(word[0])) - 1][1]
 
 
-def grams(word: str) -> list[int]:
-    """Buckets of the word's grams: 1 to 4 letters, with marks at both ends, and the whole word."""
-    raw = f"^{word}$"
-    found = [raw[i : i + n] for n in range(1, 5) for i in range(len(raw) - n + 1)]
-    return [zlib.crc32(g.encode("utf-8", "surrogatepass")) % BUCKETS for g in [*found, f"={word}"]]
+_FACTORS = np.random.default_rng(5).integers(1, 1 << 63, 8, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+
+
+def gram_buckets(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    """(number of the word, bucket) of every gram of the words: 1 to 4 letters, with marks at both ends, and each whole word."""
+    text = "^" + "$^".join(words) + "$"
+    code = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+    ends = np.cumsum([len(w) + 2 for w in words])
+    owner = np.repeat(np.arange(len(words)), np.diff(ends, prepend=0))
+    left = ends[owner] - np.arange(len(code))
+    owners, hashes, acc = [], [], np.full(len(code), _FACTORS[7])
+    for n in range(1, 5):
+        acc = acc.copy()
+        acc[: len(code) - n + 1] += code[n - 1 :] * _FACTORS[n]
+        fits = left >= n
+        owners.append(owner[fits])
+        hashes.append(mix(acc[fits] + np.uint64(n)))
+    # A whole word: its letters by place, places up to 4096 told apart.
+    place = _FACTORS[5] * (np.arange(len(code)) - (ends - np.diff(ends, prepend=0))[owner]).astype(np.uint64) + _FACTORS[6]
+    owners.append(np.arange(len(words)))
+    hashes.append(mix(np.add.reduceat(mix(code * _FACTORS[0] + place), ends - np.diff(ends, prepend=0))))
+    return np.concatenate(owners), (np.concatenate(hashes) % np.uint64(BUCKETS)).astype(np.int64)
 
 
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """lang, word, n -> lang, bucket or -1 - script number, n."""
     names = sorted({s for _, s in SCRIPTS})
     for batch in batches:
-        totals: dict[tuple, int] = {}
-        for lang, word, n in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            for b in [*grams(word), -1 - names.index(script_of(word))]:
-                totals[lang, b] = totals.get((lang, b), 0) + n
-        if totals:
-            langs, buckets = zip(*totals, strict=True)
-            yield pa.record_batch([pa.array(langs, pa.string()), pa.array(buckets, pa.int64()), pa.array(totals.values(), pa.int64())], names=["lang", "bucket", "n"])
+        langs, words, n = (c.to_pylist() for c in batch.columns)
+        if not words:
+            continue
+        kinds = sorted(set(langs))
+        lang = np.array([kinds.index(x) for x in langs])
+        owner, bucket = gram_buckets(words)
+        script = -1 - np.array([names.index(script_of(w)) for w in words])
+        size, weight = BUCKETS + len(names), np.array(n, np.float64)
+        key = np.concatenate((lang[owner] * size + bucket, lang * size + BUCKETS - 1 - script))
+        totals = np.bincount(key, weights=np.concatenate((weight[owner], weight)), minlength=size * len(kinds))
+        hit = np.flatnonzero(totals)
+        where = hit % size
+        yield pa.record_batch([pa.array([kinds[i] for i in (hit // size).tolist()], pa.string()), pa.array(np.where(where < BUCKETS, where, BUCKETS - 1 - where)), pa.array(totals[hit].astype(np.int64))], names=["lang", "bucket", "n"])
 
 
 def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", smooth: float = 0.5) -> dict:
     """The model: languages, their log probabilities by bucket, and the languages of each script."""
     rows = docs.select(F.col(lang_col).cast("string").alias("lang"), F.col(text_col).cast("string").alias("text")).filter("lang is not null and text is not null")
     words = rows.select("lang", F.explode(F.regexp_extract_all(F.lower("text"), F.lit(r"\p{L}+"), F.lit(0))).alias("word")).groupBy("lang", "word").agg(F.count("*").alias("n"))
-    found = words.mapInArrow(_counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
+    found = words.transform(map_arrow, _counted, "lang string, bucket long, n long").groupBy("lang", "bucket").agg(F.sum("n").alias("n"))
     # At most BUCKETS numbers per language come to the driver.
     table = materialize(found, "grams").toArrow()
     langs = sorted(set(table["lang"].to_pylist()))
@@ -132,14 +155,18 @@ class Labeller:
 
     def _score(self, words: list[str]) -> np.ndarray:
         logs, scripts, n = self.model["logs"], self.model["scripts"], len(self.model["langs"])
-        out = np.empty((len(words), n))
-        for i, word in enumerate(words):
-            out[i] = WEIGHT * logs[:, grams(word)].mean(axis=1)
-            allowed = scripts.get(script_of(word))
+        if not words:
+            return np.zeros((0, n))
+        owner, bucket = gram_buckets(words)
+        sizes = np.bincount(owner)
+        out = np.stack([WEIGHT * np.bincount(owner, weights=row[bucket]) / sizes for row in logs], axis=1)
+        kinds = [script_of(w) for w in words]
+        for kind in set(kinds):
+            allowed = scripts.get(kind)
             if allowed is not None and len(allowed) < n:
                 closed = np.ones(n, bool)
                 closed[allowed] = False
-                out[i, closed] -= 1e6
+                out[np.ix_([k == kind for k in kinds], closed)] -= 1e6
         return out
 
     def label(self, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
@@ -178,7 +205,7 @@ def identify(docs: DataFrame, model: dict, id_col: str = "doc_id", text_col: str
                 langs, scores = labeller.predict(cut.column(1).to_pylist())
                 yield pa.record_batch([cut.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())], names=["doc_id", "lang_pred", "score"])
 
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(run, "doc_id long, lang_pred string, score double")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).transform(map_arrow, run, "doc_id long, lang_pred string, score double")
 
 
 def spans(text: str | None, model: dict) -> list[tuple[int, int, str]]:
