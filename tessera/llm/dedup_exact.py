@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.shared import materialize, parts_for
+from tessera.shared import map_arrow, materialize, parts_for
 
 WHITE = b" \t\n\v\f\r"
 LAST_ID = (1 << 63) - 1
@@ -34,24 +34,25 @@ LAST_ID = (1 << 63) - 1
 
 class Patricia:
     """Compressed radix trie over byte strings. Values are tuples, joined by
-    ``merge``. Past ``limit`` bytes of labels the largest subtree is spilled."""
+    ``merge``. Past ``limit`` bytes of labels the largest subtree below the first
+    branching moves to a scratch file, and so does what is inserted there later."""
 
     class _Node:
-        __slots__ = ("kids", "label", "value")
+        __slots__ = ("kids", "label", "spill", "value")
 
         def __init__(self, label: bytes, value: tuple | None = None):
-            self.label, self.value, self.kids = label, value, {}
+            self.label, self.value, self.kids, self.spill = label, value, {}, None
 
     def __init__(self, merge, limit: int = 64 << 20):
         self.merge, self.limit = merge, limit
-        self.root, self.held, self.spilled = self._Node(b""), 0, {}
+        self.root, self.held = self._Node(b""), 0
 
     def insert(self, key: bytes, value: tuple) -> None:
-        if self.spilled and key[:1] in self.spilled:
-            pickle.dump((key, value), self.spilled[key[:1]])
-            return
         node, at = self.root, 0
         while True:
+            if node.spill is not None:
+                pickle.dump((key[at:], value), node.spill)
+                return
             if at == len(key):
                 node.value = value if node.value is None else self.merge(node.value, value)
                 return
@@ -83,39 +84,58 @@ class Patricia:
                 high = mid - 1
         return low
 
-    def _walk(self, node, prefix: bytes) -> Iterator[tuple[bytes, tuple]]:
+    @staticmethod
+    def _nodes(node, prefix: bytes) -> Iterator[tuple]:
+        """Nodes at and below one, with the strings from its end to theirs after prefix."""
         stack = [(node, prefix)]
         while stack:
             node, prefix = stack.pop()
-            prefix += node.label
-            if node.value is not None:
-                yield prefix, node.value
-            stack += [(kid, prefix) for kid in node.kids.values()]
+            yield node, prefix
+            stack += [(kid, prefix + kid.label) for kid in node.kids.values()]
 
     def _spill(self) -> None:
-        sizes = {k: sum(len(key) + 200 for key, _ in self._walk(kid, b"")) for k, kid in self.root.kids.items()}
-        first = max(sizes, key=sizes.get)
-        out = self.spilled[bytes([first])] = tempfile.TemporaryFile()
-        for entry in self._walk(self.root.kids.pop(first), b""):
-            pickle.dump(entry, out)
-        self.held = sum(v for k, v in sizes.items() if k != first)
+        top = self.root
+        while len(top.kids) == 1 and top.value is None:
+            top = next(iter(top.kids.values()))
+        sizes = {k: sum(len(n.label) + 200 for n, _ in self._nodes(kid, b"")) for k, kid in top.kids.items() if kid.kids}
+        if not sizes:
+            self.limit *= 2  # one key below each branch: nothing to part
+            return
+        kid = top.kids[max(sizes, key=sizes.get)]
+        file = tempfile.TemporaryFile()
+        for node, rest in self._nodes(kid, b""):
+            if node.value is not None:
+                pickle.dump((rest, node.value), file)
+            if node.spill is not None:
+                for key, value in self._entries(node.spill):
+                    pickle.dump((rest + key, value), file)
+        kid.value, kid.kids, kid.spill = None, {}, file
+        self.held -= max(sizes.values())
+
+    @staticmethod
+    def _entries(file) -> Iterator[tuple[bytes, tuple]]:
+        file.seek(0)
+        while True:
+            try:
+                yield pickle.load(file)
+            except EOFError:
+                file.close()
+                return
 
     def items(self) -> Iterator[tuple[bytes, tuple]]:
-        """Every key with its value, the tries of spilled subtrees after the rest.
-        A subtree's keys share their first byte, which its own trie leaves out."""
-        yield from self._walk(self.root, b"")
+        """Every key with its value, those of spilled subtrees after the rest, one subtree at a time."""
+        spilled = []
+        for node, key in self._nodes(self.root, b""):
+            if node.value is not None:
+                yield key, node.value
+            if node.spill is not None:
+                spilled.append((key, node.spill))
         self.root, self.held = self._Node(b""), 0
-        for first, file in self.spilled.items():
-            file.seek(0)
+        for prefix, file in spilled:
             part = Patricia(self.merge, self.limit)
-            while True:
-                try:
-                    key, value = pickle.load(file)
-                except EOFError:
-                    break
-                part.insert(key[1:], value)
-            file.close()
-            yield from ((first + key, value) for key, value in part.items())
+            for key, value in self._entries(file):
+                part.insert(key, value)
+            yield from ((prefix + key, value) for key, value in part.items())
 
 
 def _merge(a: tuple, b: tuple) -> tuple:
@@ -196,7 +216,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """One row per input row: doc_id, keep_id, group_size, kept, text_sha256."""
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     n = max(int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), parts_for(docs, 16 << 20))
-    mixed = slim.mapInArrow(_texts(map_bytes), _SCHEMA).repartition(n, "n_bytes", "route").mapInArrow(_owners(trie_bytes), _SCHEMA)
+    mixed = slim.transform(map_arrow, _texts(map_bytes), _SCHEMA).repartition(n, "n_bytes", "route").transform(map_arrow, _owners(trie_bytes), _SCHEMA)
     table = materialize(mixed.drop("route", "body"), "exact", ["kind"])
     rows = table.filter("kind = 0").select("doc_id", "uid", "n_bytes", "sha")
     groups = table.filter("kind = 1").select("n_bytes", "sha", F.col("doc_id").alias("owner"), F.col("uid").alias("owner_uid"), "copies")
