@@ -1,6 +1,7 @@
 """Licence scans by canonical digest, in DataFrame functions only.
 
-A text's canonical form drops copyright lines, lower-cases, turns every run of other
+A text's canonical form drops copyright lines (those that begin with a notice and not
+merely with the word), lower-cases, turns every run of other
 characters than letters and digits into a gap, and replaces equivalent spellings
 word by word; its SHA-256 is compared with those of known licence texts, made the
 same way. A document matches when its entire text is a licence.
@@ -22,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MOST_LICENSES = 10_000
-COPYRIGHT = r"(?im)^[ \t*#/]*(?:copyright|\(c\)|©)[^\n]*$"
+COPYRIGHT = r"(?im)^[ \t*#/]*(?:copyright[ \t]*(?:\(c\)|©|:|[0-9])|\(c\)|©)[^\n]*$"
 GAP = r"[^\p{L}\p{N}]+"
 
 #: Equivalent spellings, left replaced by right.
