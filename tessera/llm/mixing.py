@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tessera.shared import materialize, parts_for
+from tessera.shared import map_arrow, materialize, parts_for
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -78,7 +78,7 @@ def mixture(docs: DataFrame, weights: tuple = (3.0, 1.0, 2.0), share: float = 1.
     keyed = slim.withColumn("tie", F.xxhash64(F.lit(seed), "doc_id"))
     order = [F.col("source").asc_nulls_last(), "size", "tie", F.col("doc_id").asc_nulls_last()]
     dealt = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    ranked = materialize(dealt.select("doc_id", "source", "size").mapInArrow(_numbered, "doc_id long, source string, size long, part long, local long"), "mixture")
+    ranked = materialize(dealt.select("doc_id", "source", "size").transform(map_arrow, _numbered, "doc_id long, source string, size long, part long, local long"), "mixture")
     counts = ranked.groupBy("source", "part").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
     counts = materialize(counts, "counts")
     # One row per source: the number of sources is that of the mixing recipe.

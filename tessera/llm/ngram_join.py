@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from tessera.llm.graph import components
 from tessera.llm.shingles import mix, shingle_sets
-from tessera.shared import join_slim, materialize, parts_for
+from tessera.shared import join_slim, map_arrow, materialize, parts_for
 
 ORDERS = 3
 NO_ID = -(1 << 63)
@@ -100,9 +100,10 @@ def _chunks(bits: int, chunk_tokens: int):
         shared = np.zeros(len(docs), np.int64)
         if sets:
             tokens = np.concatenate(sets) >> np.uint64(16)
-            owner = np.repeat(np.array(index, np.int64), [len(s) for s in sets])
+            owner = np.repeat(np.array(index, np.int32), [len(s) for s in sets])
             order = np.argsort(tokens, kind="stable")
             tokens, owner = tokens[order], owner[order]
+            del order
             first = np.concatenate(([True], tokens[1:] != tokens[:-1]))
             many = ~first | np.concatenate((~first[1:], [False]))
             shared += np.bincount(owner[many], minlength=len(docs))
@@ -304,13 +305,13 @@ def jaccard_components(docs: DataFrame, percent: int = 80, chunk_tokens: int = 3
     # Buckets of about a million shingles; a blob of a chunk and bucket keeps at least some fifty of them.
     bits = min(16, max(4, parts_for(docs, 4 << 20).bit_length()))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_for(docs, 16 << 20))
-    mixed = slim.mapInArrow(_chunks(bits, chunk_tokens), _MIXED).repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(_common, _MIXED)
-    base = mixed.repartition(n, "chunk").sortWithinPartitions("chunk").mapInArrow(_active(percent), _MIXED)
+    mixed = slim.transform(map_arrow, _chunks(bits, chunk_tokens), _MIXED).repartition(n, "bucket").sortWithinPartitions("bucket").transform(map_arrow, _common, _MIXED)
+    base = mixed.repartition(n, "chunk").sortWithinPartitions("chunk").transform(map_arrow, _active(percent), _MIXED)
     base = materialize(base.select("id", "n", "cls", (F.col("kind") == 1).alias("active")), "base")
 
     reps = materialize(base.filter("active").groupBy("cls").agg(F.min("id").alias("id")).select("id", "cls"), "reps")
     texts = join_slim(slim, reps, ["id"], "inner").select("text", "cls")
-    sets = materialize(texts.mapInArrow(_sets, "nid long, cls binary, n long, tokens array<long>"), "sets")
+    sets = materialize(texts.transform(map_arrow, _sets, "nid long, cls binary, n long, tokens array<long>"), "sets")
 
     postings = sets.select("nid", "n", F.explode("tokens").alias("token"))
     often = postings.groupBy("token").agg(F.count("*").alias("df")).filter("df > 1")
@@ -330,7 +331,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, chunk_tokens: int = 3
     members = members.select("nid", "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
     members = materialize(members, "members")
     tasks = members.join(sets.select("nid", "tokens"), "nid").repartition(n, "family", "i", "j").sortWithinPartitions("family", "i", "j")
-    links = materialize(tasks.select("family", "i", "j", "nid", "block", "tokens").mapInArrow(_linked(percent), "a long, b long"), "links")
+    links = materialize(tasks.select("family", "i", "j", "nid", "block", "tokens").transform(map_arrow, _linked(percent), "a long, b long"), "links")
 
     labels = components(links)
     groups = base.filter("n > 0").groupBy("cls").agg(F.min("id").alias("least"), F.count("*").alias("copies"))

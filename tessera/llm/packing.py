@@ -28,12 +28,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.shared import materialize
+from tessera.shared import map_arrow, materialize, process_cache
 
 _TOKENS = "doc_id long, part long, before long, n long, ids binary"
 _PIECES = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, padded long"
 PLAIN = re.compile("[^\x00-ɏ]")
-_LOADED: dict = {}
 
 
 def default_tokenizer() -> str:
@@ -44,7 +43,8 @@ def default_tokenizer() -> str:
 
 def encoder(path: str):
     """A function from a list of texts to a list of id lists; loaded once per process."""
-    if path not in _LOADED:
+    loaded = process_cache().setdefault("encoders", {})
+    if path not in loaded:
         import json
 
         import public_tokenizers
@@ -65,8 +65,8 @@ def encoder(path: str):
         def run(texts: list[str]) -> list[list[int]]:
             return [exact.encode(t, add_special_tokens=False).ids if PLAIN.search(t) else quick.encode_ordinary(t) for t in texts]
 
-        _LOADED[path] = run
-    return _LOADED[path]
+        loaded[path] = run
+    return loaded[path]
 
 
 def _tokens(path: str, end: int):
@@ -86,20 +86,20 @@ def _tokens(path: str, end: int):
     return run
 
 
-def _pieces(window: int, total_col: bool = True):
+def _pieces(window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = []
-            for doc_id, first, n, ids, total in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                at = 0
-                while at < n:
-                    sequence, offset = divmod(first + at, window)
-                    length = min(window - offset, n - at)
-                    filled = min(window, total - sequence * window)
-                    padded = filled if filled & (filled - 1) == 0 else window
-                    out.append((doc_id, at, length, zlib.crc32(ids[4 * at : 4 * (at + length)]), n, sequence, offset, padded))
-                    at += length
-            if out:
+            for start in range(0, batch.num_rows, 512):
+                out = []
+                for doc_id, first, n, ids, total in zip(*(c.to_pylist() for c in batch.slice(start, 512).columns), strict=True):
+                    at = 0
+                    while at < n:
+                        sequence, offset = divmod(first + at, window)
+                        length = min(window - offset, n - at)
+                        filled = min(window, total - sequence * window)
+                        padded = filled if filled & (filled - 1) == 0 else window
+                        out.append((doc_id, at, length, zlib.crc32(ids[4 * at : 4 * (at + length)]), n, sequence, offset, padded))
+                        at += length
                 yield pa.record_batch([pa.array(c, pa.int64()) for c in zip(*out, strict=True)], names=[x.split()[0] for x in _PIECES.split(", ")])
 
     return run
@@ -110,7 +110,7 @@ def pack(docs: DataFrame, window: int = 1024, end_id: int = 0, tokenizer: str |
     padded (the sequence's length after padding: the window, or its own if a power of two)."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    tokens = materialize(slim.mapInArrow(_tokens(tokenizer or default_tokenizer(), end_id), _TOKENS), "tokens")
+    tokens = materialize(slim.transform(map_arrow, _tokens(tokenizer or default_tokenizer(), end_id), _TOKENS), "tokens")
     # One total per map task: as many rows as partitions.
     totals = sorted(tokens.groupBy("part").agg(F.sum("n").alias("n")).collect())
     bases, total = [], 0
@@ -119,4 +119,4 @@ def pack(docs: DataFrame, window: int = 1024, end_id: int = 0, tokenizer: str |
         total += n
     base = spark.createDataFrame(bases, "part long, base long")
     placed = tokens.join(F.broadcast(base), "part").select("doc_id", (F.col("base") + F.col("before")).alias("first"), "n", "ids", F.lit(total).cast("long").alias("total"))
-    return placed.mapInArrow(_pieces(window), _PIECES)
+    return placed.transform(map_arrow, _pieces(window), _PIECES)

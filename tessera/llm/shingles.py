@@ -12,6 +12,8 @@ from collections.abc import Iterator
 
 import numpy as np
 
+from tessera.shared import process_cache
+
 _RNG = np.random.default_rng(20240229)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BYTE[65:91] = _BYTE[97:123]
@@ -20,12 +22,12 @@ _BASE = 0x9E3779B97F4A7C15
 _INVERSE = pow(_BASE, -1, 1 << 64)
 _SPACE = np.zeros(256, bool)
 _SPACE[[32, *range(9, 14)]] = True
-_POWERS: list = []
 
 
 def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, at least n of each."""
-    if not _POWERS or len(_POWERS[0]) < n:
+    powers = process_cache().setdefault("shingle powers", [])
+    if not powers or len(powers[0]) < n:
         size = max(n, 1 << 16)
         both = []
         for base in (_BASE, _INVERSE):
@@ -35,8 +37,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
                 out[have : have + take] = out[:take] * np.uint64(pow(base, have, 1 << 64))
                 have += take
             both.append(out)
-        _POWERS[:] = both
-    return _POWERS[0], _POWERS[1]
+        powers[:] = both
+    return powers[0], powers[1]
 
 
 def mix(x: np.ndarray) -> np.ndarray:

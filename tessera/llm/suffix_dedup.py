@@ -37,7 +37,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.shingles import mix
-from tessera.shared import join_slim, materialize, parts_for
+from tessera.shared import join_slim, map_arrow, materialize, parts_for, process_cache
 
 GRAM, TOKEN = 32, 50
 NO_ID = -(1 << 63)
@@ -46,14 +46,14 @@ PIECE = 4 << 20
 _RNG = np.random.default_rng(400)
 _BYTE = _RNG.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0xD1342543DE82EF95
-_POWERS: list = []
 _RUNS = "gram long, ctx long, id long, text_hash long, at long, windows int, back int"
 
 
 def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of the bytes' polynomial and the inverse powers that place a piece of it at zero."""
     n = len(data) + 1
-    if not _POWERS or len(_POWERS[0]) < n:
+    powers = process_cache().setdefault("window powers", [])
+    if not powers or len(powers[0]) < n:
         both, size = [], max(n, 1 << 16)
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
             out, have = np.ones(size, np.uint64), 1
@@ -62,10 +62,10 @@ def _sums(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
                 out[have : have + take] = out[:take] * np.uint64(pow(base, have, 1 << 64))
                 have += take
             both.append(out)
-        _POWERS[:] = both
+        powers[:] = both
     sums = np.zeros(n, np.uint64)
-    np.cumsum(_BYTE[data] * _POWERS[0][: n - 1], out=sums[1:])
-    return sums, _POWERS[1]
+    np.cumsum(_BYTE[data] * powers[0][: n - 1], out=sums[1:])
+    return sums, powers[1]
 
 
 def anchor_runs(data: np.ndarray, ends: np.ndarray, length: int) -> tuple[np.ndarray, ...]:
@@ -264,7 +264,7 @@ def repeated_spans(docs: DataFrame, length: int = 400, slice_classes: int = 2000
     text = F.col(text_col).cast("string")
     slim = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_for(docs, 16 << 20))
-    runs = materialize(slim.mapInArrow(_runs(length), _RUNS), "runs")
+    runs = materialize(slim.transform(map_arrow, _runs(length), _RUNS), "runs")
     grams = runs.groupBy("gram").agg(F.count("*").alias("n")).filter("n > 1").select("gram")
     runs = materialize(runs.join(grams, "gram", "left_semi"), "repeated")
     place = F.struct("id", "text_hash", "at", "windows", "back")
@@ -275,12 +275,12 @@ def repeated_spans(docs: DataFrame, length: int = 400, slice_classes: int = 2000
     wanted = wanted.groupBy("p.id", "p.text_hash").agg(F.collect_list(F.struct(F.col("p.at").alias("at"), F.col("p.windows").alias("windows"), F.col("p.back").alias("back"), "gram", "ctx", (F.col("n") > 1).alias("many"), "slices")).alias("spans"))
     wanted = materialize(wanted, "wanted")
     some = join_slim(slim, wanted.select("id", "text_hash"), ["id", "text_hash"], "left_semi").dropDuplicates(["id", "text_hash"])
-    contexts = some.join(wanted, ["id", "text_hash"]).select("text", "spans").mapInArrow(_contexts(length), _CONTEXTS)
+    contexts = some.join(wanted, ["id", "text_hash"]).select("text", "spans").transform(map_arrow, _contexts(length), _CONTEXTS)
     key = ["lead", "slice", "tail"]
-    found = contexts.repartitionByRange(n, *key).sortWithinPartitions(*key).mapInArrow(_sorted(length), "gram long, ctx long, low int, high int")
+    found = contexts.repartitionByRange(n, *key).sortWithinPartitions(*key).transform(map_arrow, _sorted(length), "gram long, ctx long, low int, high int")
     whole = classes.filter("n > 1").select("gram", "ctx", F.lit(0).alias("low"), (F.col("p.windows") - 1).alias("high"))
     hits = whole.unionByName(found)
     spans = runs.join(hits, ["gram", "ctx"]).select("id", "text_hash", (F.col("at") + F.col("low")).alias("low"), (F.col("at") + F.col("high") + length).alias("high")).distinct()
     spans = spans.groupBy("id", "text_hash").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     out = slim.join(spans, ["id", "text_hash"], "left")
-    return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "text", "spans").mapInArrow(_cut, _KEPT)
+    return out.select(F.when(F.col("id") != NO_ID, F.col("id")).alias("doc_id"), "text", "spans").transform(map_arrow, _cut, _KEPT)

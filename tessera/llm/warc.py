@@ -38,7 +38,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.shared import join_slim, materialize, new_path
+from tessera.shared import join_slim, map_arrow, materialize, new_path
 
 END = b"\r\n\r\n"
 #: Compressed bytes given to zlib at once where members are short.
@@ -107,7 +107,7 @@ def write_archives(pages: DataFrame, path: str, least: int = 100, archive_bytes:
     first = slim.filter(F.octet_length("html") >= least).groupBy("digest").agg(F.min("page_id").alias("owner"), F.count("*").alias("n"))
     first = materialize(first.filter("n > 1").select("digest", "owner"), "payloads")
     joined = join_slim(slim, first, ["digest"], "left").select("page_id", "url", "html", "digest", "owner")
-    rows = joined.mapInArrow(_records(date, archive_bytes), _OUT).drop("kind")
+    rows = joined.transform(map_arrow, _records(date, archive_bytes), _OUT).drop("kind")
     rows.withColumn("data", F.col("data").cast("string")).write.partitionBy("archive").option("compression", "gzip").option("lineSep", END.decode()).text(path)
 
 
@@ -190,7 +190,7 @@ def _files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
 
 def normalise(spark: SparkSession, path: str, out: str, pattern: str = "*.gz", level: int = 6) -> None:
     """Rewrites the whole-file gzip WARC files under path as one member per record, with sidecar indexes."""
-    rows = _files(spark, path, pattern).mapInArrow(_normalised(level), _OUT)
+    rows = _files(spark, path, pattern).transform(map_arrow, _normalised(level), _OUT)
     rows.withColumn("data", F.col("data").cast("string")).write.partitionBy("archive", "kind").option("lineSep", "\0").text(out)
 
 
@@ -246,7 +246,7 @@ def parse(record: bytes) -> tuple:
 def read_archives(spark: SparkSession, path: str) -> DataFrame:
     """One row per record of normalised archives; payload is empty for revisits."""
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).filter(F.col("path").contains("/kind=warc/"))
-    return files.select("path", "content").mapInArrow(_parsed, _RECORDS)
+    return files.select("path", "content").transform(map_arrow, _parsed, _RECORDS)
 
 
 def read_index(spark: SparkSession, path: str) -> DataFrame:
@@ -261,7 +261,7 @@ def read_index(spark: SparkSession, path: str) -> DataFrame:
                     yield pa.record_batch([pa.array([name.split("/archive=")[-1].split("/")[0]] * len(a)), pa.array(range(len(a)), pa.int64()), pa.array(map(int, a), pa.int64()), pa.array(map(int, b), pa.int64()), pa.array([x.decode() for x in c]), pa.array([x.decode() for x in d])], names=["archive", "seq", "offset", "length", "record_id", "record_type"])
 
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).filter(F.col("path").contains("/kind=index/"))
-    return files.select("path", "content").mapInArrow(run, "archive string, seq long, offset long, length long, record_id string, record_type string")
+    return files.select("path", "content").transform(map_arrow, run, "archive string, seq long, offset long, length long, record_id string, record_type string")
 
 
 def round_trip(pages: DataFrame, least: int = 100) -> DataFrame:
