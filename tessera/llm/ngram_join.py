@@ -11,15 +11,18 @@ least ``threshold`` percent. Result: one row per document with its component.
 2. Families. Under the first global order (rarest first, then by hash) two similar
    sets share a prefix shingle; documents joined by shared prefix shingles, in one
    star a shingle, form families. Similar sets are always in one family.
-3. Verification. Families meet in one task each; families over a bound are cut into blocks, and
-   every pair of blocks meets. Candidates of a document must share prefix shingles
-   under each of ``ORDERS`` orders (rarest first, then by different permutations);
+3. Verification. Families meet in one task each. Candidates of a document must share prefix
+   shingles under each of ``ORDERS`` orders (rarest first, then by different permutations);
    the filters are intersected, and what is left is verified by exact intersection
    unless both documents are connected already. Only links that connect are
    written, so a group of n copies gives n - 1 links.
+4. Families over a bound are cut into blocks. First each block meets with itself and a few pivots of
+   the family, which joins near copies of one text across blocks. Then only documents outside the
+   family's largest component still need the other blocks, and meet all of them in chunks: of two
+   documents in different components at least one is outside the largest.
 
-Copies of a set are one node throughout. Nothing is capped: blocks and prefixes
-lose no pair.
+Copies of a set are one node throughout. Nothing is capped: blocks, pivots and
+prefixes lose no pair.
 
 Nulls: null and blank texts have empty sets and link with nothing. Null ids are an
 id of their own below all others. Repeated rows are rows of one component. Other
@@ -43,6 +46,8 @@ from tessera.llm.shingles import mix, shingle_sets
 from tessera.shared import join_slim, map_arrow, materialize, parts_for
 
 ORDERS = 3
+#: Documents of a family of several blocks that every block meets at once.
+PIVOTS = 8
 NO_ID = -(1 << 63)
 MULTI = 65535
 _MIXED = "kind int, bucket int, chunk long, idx int, id long, n long, cls binary, shared long, blob binary"
@@ -223,9 +228,9 @@ class _Index:
         return np.concatenate(parts) if parts else self.docs[:0]
 
 
-def link_group(sets: list[np.ndarray], side: np.ndarray, percent: int, orders: int = ORDERS) -> list[tuple[int, int]]:
+def link_group(sets: list[np.ndarray], side: np.ndarray, percent: int, orders: int = ORDERS, labels: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect the similar sets of a group: a spanning forest. Where side
-    has two values only sets of different sides are compared."""
+    has two values only sets of different sides are compared. Sets with equal labels are connected already."""
     m, n = len(sets), np.array([len(s) for s in sets])
     vocabulary, flat = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(m), n)
@@ -245,7 +250,7 @@ def link_group(sets: list[np.ndarray], side: np.ndarray, percent: int, orders: i
         docs = np.repeat(np.arange(m), [len(p) for p in prefix])
         filters.append((prefix, _Index(docs, np.concatenate(prefix), width)))
     full, two = _Index(owner, flat, width), side.min() != side.max()
-    label, links = np.arange(m), []
+    label, links = np.arange(m) if labels is None else np.unique(labels, return_inverse=True)[1], []
     for x in range(m):
         if not len(filters[0][0][x]):
             continue
@@ -271,34 +276,31 @@ def link_group(sets: list[np.ndarray], side: np.ndarray, percent: int, orders: i
     return links
 
 
-def _linked(percent: int):
+def _linked(percent: int, across: bool):
+    """Rows family, i, j, nid, side, label, tokens, sorted by the first three; across: only sides 0 and 1 are compared."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows():
             for batch in batches:
-                tokens = batch.column(5)
-                for i, head in enumerate(zip(*(batch.column(j).to_pylist() for j in range(5)), strict=True)):
+                tokens = batch.column(6)
+                for i, head in enumerate(zip(*(batch.column(j).to_pylist() for j in range(6)), strict=True)):
                     yield (*head, tokens[i].values.to_numpy().view(np.uint64))
 
         a, b = [], []
-        for (_, i, j), group in groupby(rows(), key=lambda r: r[:3]):
-            ids, blocks, sets = [], [], []
-            for _, _, _, nid, block, tokens in group:
-                ids.append(nid)
-                blocks.append(block)
-                sets.append(tokens)
-            if len(ids) > 1:
-                blocks = np.array(blocks)
-                if i == j or blocks.min() != blocks.max():
-                    for x, y in link_group(sets, blocks, percent):
-                        a.append(ids[x])
-                        b.append(ids[y])
+        for _, group in groupby(rows(), key=lambda r: r[:3]):
+            ids, sides, labels, sets = zip(*((r[3], r[4], r[5], r[6]) for r in group), strict=True)
+            sides = np.array(sides)
+            if len(ids) > 1 and not (across and sides.min() == sides.max()):
+                for x, y in link_group(list(sets), sides, percent, labels=np.array(labels)):
+                    a.append(ids[x])
+                    b.append(ids[y])
         if a:
             yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
 
 
-def jaccard_components(docs: DataFrame, percent: int = 80, chunk_tokens: int = 3_000_000, block_docs: int = 1024, block_tokens: int = 2_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = 80, chunk_tokens: int = 3_000_000, block_docs: int = 512, block_tokens: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
     slim = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -324,14 +326,35 @@ def jaccard_components(docs: DataFrame, percent: int = 80, chunk_tokens: int = 3
     edges = prefix.join(stars, "token").filter("nid <> b").select(F.col("nid").alias("a"), "b").distinct()
     family = components(edges).select(F.col("node").alias("nid"), F.col("label").alias("family"))
 
-    members = sets.select("nid", "n").join(family, "nid")
-    sizes = members.groupBy("family").agg(F.ceil(F.greatest(F.count("*") / block_docs, F.sum("n") / block_tokens)).cast("int").alias("blocks"))
-    members = members.join(sizes, "family").withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    members = members.select("nid", "family", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"), "block")
+    members = materialize(sets.select("nid", "n").join(family, "nid"), "families")
+    number = lambda: F.ceil(F.greatest(F.count("*") / block_docs, F.sum("n") / block_tokens)).cast("int")
+    pivots = F.array_distinct(F.array(*[F.min(F.struct(F.xxhash64(F.lit(j), "nid").alias("h"), F.col("nid").alias("nid"))).getField("nid") for j in range(PIVOTS)]))
+    sizes = materialize(members.groupBy("family").agg(number().alias("blocks"), pivots.alias("pivots")), "sizes")
+    large = sizes.filter("blocks > 1")
+    members = members.join(sizes.select("family", "blocks"), "family").withColumn("block", F.pmod(F.xxhash64("nid"), F.col("blocks")).cast("int"))
     members = materialize(members, "members")
-    tasks = members.join(sets.select("nid", "tokens"), "nid").repartition(n, "family", "i", "j").sortWithinPartitions("family", "i", "j")
-    links = materialize(tasks.select("family", "i", "j", "nid", "block", "tokens").transform(map_arrow, _linked(percent), "a long, b long"), "links")
+    every = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    guests = large.select("family", every.alias("i"), "pivots").select("family", "i", F.explode("pivots").alias("nid"))
+    first = members.select("family", F.col("block").alias("i"), "nid").unionByName(guests).distinct()
+    first = first.select("family", "i", F.lit(0).alias("j"), "nid", F.lit(0).alias("side"), F.col("nid").alias("label"))
+
+    def linked(tasks: DataFrame, across: bool) -> DataFrame:
+        placed = tasks.join(sets.select("nid", "tokens"), "nid").repartition(n, "family", "i", "j").sortWithinPartitions("family", "i", "j")
+        rows = placed.select("family", "i", "j", "nid", "side", "label", "tokens").transform(map_arrow, _linked(percent, across), "a long, b long")
+        return materialize(rows, "links")
+
+    links = linked(first, False)
+    if not large.isEmpty():
+        near = components(links).withColumnRenamed("node", "nid")
+        big = members.filter("blocks > 1").join(near, "nid", "left").withColumn("label", F.coalesce("label", "nid"))
+        big = materialize(big, "large")
+        most = big.groupBy("family", "label").agg(F.count("*").alias("k")).groupBy("family").agg(F.max_by("label", "k").alias("giant"))
+        loose = materialize(big.join(most, "family").filter("label <> giant").drop("giant"), "loose")
+        chunks = loose.groupBy("family").agg(number().alias("chunks"))
+        own = big.join(chunks, "family").select("family", F.col("block").alias("i"), F.explode(F.sequence(F.lit(0), F.col("chunks") - 1)).alias("j"), "nid", F.lit(0).alias("side"), "label")
+        asked = loose.join(chunks, "family").withColumn("i", every).filter("i <> block")
+        asked = asked.select("family", "i", F.pmod(F.xxhash64(F.lit(1), "nid"), F.col("chunks")).cast("int").alias("j"), "nid", F.lit(1).alias("side"), "label")
+        links = links.unionByName(linked(own.unionByName(asked), True))
 
     labels = components(links)
     groups = base.filter("n > 0").groupBy("cls").agg(F.min("id").alias("least"), F.count("*").alias("copies"))

@@ -103,3 +103,23 @@ def test_spans(fixture, slices, request):
     length = 120
     got = repeated_spans(docs, length=length, slice_classes=slices).collect()
     assert sorted([tuple(r)[:5] for r in got], key=str) == _covered(docs.collect(), length)
+
+
+@pytest.mark.parametrize("block", [3, 8, 1000])
+def test_large_families(spark, block):
+    """Chains, whose ends are far apart, and stars of near copies, over several blocks."""
+    import random
+
+    rng = random.Random(block)
+    words = [f"v{i}" for i in range(900)]
+    docs = [" ".join(words[i * 6 : i * 6 + 100]) for i in range(40)]
+    base = [f"s{i}" for i in range(120)]
+    for _ in range(40):
+        copy = list(base)
+        for at in rng.sample(range(120), rng.choice([1, 2, 3])):
+            copy[at] = f"e{rng.random()}"
+        docs.append(" ".join(copy))
+    rng.shuffle(docs)
+    table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    got = jaccard_components(table, chunk_tokens=3000, block_docs=block).collect()
+    assert sorted([tuple(r) for r in got], key=str) == _components(table.collect())
