@@ -75,7 +75,8 @@ def mixture(docs: DataFrame, weights: tuple = (3.0, 1.0, 2.0), share: float = 1.
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_for(docs, 64 << 20))
-    keyed = slim.withColumn("tie", F.xxhash64(F.lit(seed), "doc_id"))
+    # Written first: range partitioning reads its input twice, and texts should be read once.
+    keyed = materialize(slim, "sizes").withColumn("tie", F.xxhash64(F.lit(seed), "doc_id"))
     order = [F.col("source").asc_nulls_last(), "size", "tie", F.col("doc_id").asc_nulls_last()]
     dealt = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order)
     ranked = materialize(dealt.select("doc_id", "source", "size").transform(map_arrow, _numbered, "doc_id long, source string, size long, part long, local long"), "mixture")
