@@ -51,19 +51,26 @@ def encoder(path: str):
         import tiktoken
         from tokenizers import Tokenizer
 
-        exact = Tokenizer.from_file(path)
-        exact.encode_special_tokens = True
         # Byte-level vocabularies write bytes as printable characters: those that print stand for themselves, the rest from U+0100 on.
         shown = [*range(33, 127), *range(161, 173), *range(174, 256)]
         byte_of = {chr(b): b for b in shown} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in shown)}
         with open(path, encoding="utf-8") as f:
-            model = json.load(f)["model"]["vocab"]
-        special = {t.content for t in exact.get_added_tokens_decoder().values()}
-        ranks = {bytes(byte_of[c] for c in token): i for token, i in model.items() if token not in special}
+            file = json.load(f)
+        special = {t["content"] for t in file.get("added_tokens", ())}
+        ranks = {bytes(byte_of[c] for c in token): i for token, i in file["model"]["vocab"].items() if token not in special}
+        del file
         quick = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
 
+        kept: list = []
+
+        def exact(text: str) -> list[int]:
+            if not kept:  # loaded only where a text needs it: it takes as much memory again
+                kept.append(Tokenizer.from_file(path))
+                kept[0].encode_special_tokens = True
+            return kept[0].encode(text, add_special_tokens=False).ids
+
         def run(texts: list[str]) -> list[list[int]]:
-            return [exact.encode(t, add_special_tokens=False).ids if PLAIN.search(t) else quick.encode_ordinary(t) for t in texts]
+            return [exact(t) if PLAIN.search(t) else quick.encode_ordinary(t) for t in texts]
 
         loaded[path] = run
     return loaded[path]
