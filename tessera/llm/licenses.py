@@ -4,7 +4,9 @@ A text's canonical form drops copyright lines (those that begin with a notice an
 merely with the word), lower-cases, turns every run of other
 characters than letters and digits into a gap, and replaces equivalent spellings
 word by word; its SHA-256 is compared with those of known licence texts, made the
-same way. A document matches when its entire text is a licence.
+same way. A document matches when its entire text is a licence, with or without the
+licence's title lines and its appendix on how to apply it; a notice or a licence inside
+a longer text doesn't match.
 
 The known licences are a table of (license_id, text) that the caller may pass; its
 digests are broadcast, so it must be a list of licences (``MOST_LICENSES``), not a
@@ -18,6 +20,7 @@ scanned alike. Other columns are ignored. An empty table gives no rows.
 from __future__ import annotations
 
 from functools import reduce
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,6 +47,32 @@ LICENSES = {
     "BSD-3-Clause": _BSD_HEAD + "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission. " + _BSD,
     "Zlib": "This software is provided 'as-is', without any express or implied warranty. In no event will the authors be held liable for any damages arising from the use of this software. Permission is granted to anyone to use this software for any purpose, including commercial applications, and to alter it and redistribute it freely, subject to the following restrictions: 1. The origin of this software must not be misrepresented; you must not claim that you wrote the original software. If you use this software in a product, an acknowledgment in the product documentation would be appreciated but is not required. 2. Altered source versions must be plainly marked as such, and must not be misrepresented as being the original software. 3. This notice may not be removed or altered from any source distribution.",
 }
+#: Title lines before a licence that is known by its body.
+TITLES = {
+    "MIT": ["MIT License", "The MIT License", "MIT License (MIT)", "The MIT License (MIT)", "MIT", "Expat License"],
+    "ISC": ["ISC License", "The ISC License", "ISC License (ISC)", "The ISC License (ISC)", "ISC"],
+    "0BSD": ["BSD Zero Clause License", "Zero-Clause BSD", "Zero-Clause BSD License", "BSD Zero Clause License (0BSD)", "0BSD License", "0BSD"],
+    "BSD-2-Clause": ["BSD 2-Clause License", "The BSD 2-Clause License", "The 2-Clause BSD License", 'BSD 2-Clause "Simplified" License', "Simplified BSD License", "FreeBSD License", "BSD License", "The BSD License", "BSD-2-Clause"],
+    "BSD-3-Clause": ["BSD 3-Clause License", "The BSD 3-Clause License", "The 3-Clause BSD License", 'BSD 3-Clause "New" or "Revised" License', "New BSD License", "The New BSD License", "Modified BSD License", "Revised BSD License", "BSD License", "The BSD License", "BSD-3-Clause"],
+    "Zlib": ["zlib License", "The zlib License", "zlib/libpng License", "The zlib/libpng License", "zlib"],
+    "Unlicense": ["The Unlicense", "Unlicense"],
+    "BSL-1.0": ["Boost Software License 1.0", "Boost Software License"],
+}
+#: Whole texts with their titles, a file per licence. Read on the driver only.
+TEXTS = Path(__file__).parent / "license_texts"
+TERMS_END = "END OF TERMS AND CONDITIONS"
+
+
+def _forms(name: str, text: str) -> list[str]:
+    """The forms in which a licence is shipped: with each title, without appendix, with either scheme in links."""
+    bodies = [text]
+    if name == "BSL-1.0":
+        bodies.append(text.split("\n", 1)[1])
+    if TERMS_END in text:
+        terms = text.split(TERMS_END)[0]
+        bodies += [terms, terms + TERMS_END]
+    forms = [f"{title}\n{body}" for title in ("", *TITLES.get(name, [])) for body in bodies]
+    return sorted({x for f in forms for x in (f, f.replace("https://", "http://"), f.replace("http://", "https://"))})
 
 
 def canonical(text: Column) -> Column:
@@ -55,7 +84,9 @@ def canonical(text: Column) -> Column:
 
 
 def known_licenses(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(list(LICENSES.items()), "license_id string, text string")
+    whole = {p.stem: p.read_text(encoding="utf-8") for p in sorted(TEXTS.glob("*.txt"))}
+    rows = [(name, form) for name, text in (LICENSES | whole).items() for form in _forms(name, text)]
+    return spark.createDataFrame(rows, "license_id string, text string")
 
 
 def scan(docs: DataFrame, licenses: DataFrame | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -70,7 +101,7 @@ def scan(docs: DataFrame, licenses: DataFrame | None = None, id_col: str = "doc_
 
 
 def oracle_sql() -> str:
-    """The same over DuckDB's view documents."""
+    """The same over DuckDB's view documents, with the bodies in LICENSES alone."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
 
     def form(text: str) -> str:

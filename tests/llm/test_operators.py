@@ -120,6 +120,18 @@ def test_licenses(spark):
     assert licenses.scan(spark.createDataFrame([(1, "MY, program")], "doc_id long, text string"), own).first().license_id == "a"
 
 
+def test_whole_licenses_and_titles(spark):
+    texts = {p.stem: p.read_text(encoding="utf-8") for p in licenses.TEXTS.glob("*.txt")}
+    assert len(texts) == 14
+    rows = [(name, text) for name, text in texts.items()]
+    rows += [("Apache-2.0", texts["Apache-2.0"].split("APPENDIX")[0]), ("GPL-3.0", texts["GPL-3.0"].replace("https:", "http:")), ("GPL-2.0", " ".join(texts["GPL-2.0"].split("END OF TERMS")[0].replace("Copyright (C) 1989, 1991 Free Software Foundation, Inc.,", "").split()))]
+    rows += [("MIT", "MIT License\n\nCopyright (c) 2020 Someone\n\n" + licenses.LICENSES["MIT"]), ("MIT", "The MIT License (MIT)\n" + licenses.LICENSES["MIT"]), ("BSD-3-Clause", "BSD 3-Clause License\n" + licenses.LICENSES["BSD-3-Clause"]), ("Unlicense", "The Unlicense\n" + texts["Unlicense"])]
+    rows += [(None, "MIT License"), (None, "Licensed under the Apache License, Version 2.0."), (None, "Some program\n" + texts["MPL-2.0"])]
+    docs = spark.createDataFrame(list(enumerate(t for _, t in rows)), "doc_id long, text string")
+    got = {r.doc_id: r.license_id for r in licenses.scan(docs).collect()}
+    assert [got[i] for i in range(len(rows))] == [name for name, _ in rows]
+
+
 def test_targets():
     assert mixing.target_sizes([10, 10, 10], [3, 1, 2], 1.5, 2.0) == pytest.approx([20, 25 / 3, 50 / 3])
     assert mixing.target_sizes([0, 10], [3, 1], 1.5, 2.0) == [0, 15]
