@@ -1,7 +1,7 @@
 """Licence scans by canonical digest, in DataFrame functions only.
 
 A text's canonical form drops copyright lines (those that begin with a notice and not
-merely with the word), lower-cases, turns every run of other
+merely with the word) and a line "All rights reserved" next to one, lower-cases, turns every run of other
 characters than letters and digits into a gap, and replaces equivalent spellings
 word by word; its SHA-256 is compared with those of known licence texts, made the
 same way. A document matches when its entire text is a licence, with or without the
@@ -26,7 +26,18 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 MOST_LICENSES = 10_000
+#: The notices that the SQL knows.
 COPYRIGHT = r"(?im)^[ \t*#/]*(?:copyright[ \t]*(?:\(c\)|©|:|[0-9])|\(c\)|©)[^\n]*$"
+#: Comment signs and the like before a notice.
+_MARK = r"(?:[ \t*#/;%!<>|'\".:\-\\{]|(?:rem|dnl|portions?(?: of [^\n]{0,80}?)?(?: are)?)[ \t])*+"
+#: Words after "copyright" that go on with a sentence.
+_SENTENCE = r"(?:and|or|of|in|is|are|as|for|to|by|on|at|under|with|that|which|may|shall|must|will|law|laws|licen[cs]es?|licen[cs]ed|holders?|owners?|ownership|notices?|statements?|disclaimers?|interests?|rights?|claims?|protection|protected|treaty|treaties|terms?|information|status|infringement|material|works?|permission|permissions|only|act|office)"
+#: Words after "(c)" where it is the third item of a list.
+_ITEM = r"(?:you|your|if|in|any|all|under|representations|notwithstanding|the licen[cs]es?|this|that|no)"
+_ABOUT = rf"(?:copyright(?:ed by)?[ \t]*(?:\(c\)|©|:|[0-9]|[\[<{{])|copr\.[ \t]*[\p{{L}}\p{{N}}\[<{{]|copyright[ \t]+(?!{_SENTENCE}\b)(?-i:\p{{Lu}})|©|\(c\)(?![ \t]*{_ITEM}\b))"
+_RESERVED = r"all rights reserved[^\p{L}\p{N}\n]*"
+#: What scan() drops: lines with notices, and "All rights reserved" on the line before or after.
+NOTICE = rf"(?im)^(?:{_MARK}{_RESERVED}\n\s*)?{_MARK}{_ABOUT}[^\n]*$(?:\n[\s*#/;%>|\-]*+{_RESERVED}$)?"
 GAP = r"[^\p{L}\p{N}]+"
 
 #: Equivalent spellings, left replaced by right.
@@ -77,7 +88,7 @@ def _forms(name: str, text: str) -> list[str]:
 
 def canonical(text: Column) -> Column:
     """The canonical form: words between single gaps of two spaces, one at each end."""
-    plain = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), COPYRIGHT, "")
+    plain = F.regexp_replace(F.coalesce(text.cast("string"), F.lit("")), NOTICE, "")
     spaced = F.concat(F.lit("  "), F.regexp_replace(F.lower(plain), GAP, "  "), F.lit("  "))
     # Two spaces between words: replacements of neighbours don't share one.
     return F.trim(reduce(lambda c, s: F.replace(c, F.lit(f" {s[0]} "), F.lit(f" {s[1]} ")), SPELLINGS, spaced))
@@ -101,7 +112,7 @@ def scan(docs: DataFrame, licenses: DataFrame | None = None, id_col: str = "doc_
 
 
 def oracle_sql() -> str:
-    """The same over DuckDB's view documents, with the bodies in LICENSES alone."""
+    """The same over DuckDB's view documents, with the bodies in LICENSES and the notices of COPYRIGHT alone."""
     quote = lambda s: "'" + s.replace("'", "''") + "'"
 
     def form(text: str) -> str:

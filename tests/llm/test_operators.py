@@ -132,6 +132,24 @@ def test_whole_licenses_and_titles(spark):
     assert [got[i] for i in range(len(rows))] == [name for name, _ in rows]
 
 
+NOTICES = ["Copyright Jane Doe 2020", "Copyright The Foo Authors", "Copyright [yyyy] [name]", "Copyright <YEAR> <HOLDER>", "Copyright (c) <year> <owner>", "Portions Copyright (c) 2001 X", "; Copyright (c) 2020 X", "<!-- Copyright (c) 2020 X -->", "// Copyright 2020 X", "-- Copyright (c) 2020 X", "(c) 2020 X", "© X", "Copyright (c) 2020 X\nAll rights reserved.", "# Copyright 2020 X\n#\n# All rights reserved.", "All rights reserved.\nCopyright X", "Copyright X\nCopyright (c) 1999 Y. All rights reserved."]
+SENTENCES = ["copyright holders or contributors be liable", "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM", "copyright notice and this permission notice", "Copyright and Related Rights include", "copyright owner that is granting", "copyright license to reproduce", "All rights reserved."]
+
+
+def test_copyright_notices(spark):
+    mit = licenses.LICENSES["MIT"]
+    rows = [n + "\n\n" + mit for n in NOTICES] + ["MIT License\n" + n + "\n" + mit for n in NOTICES] + [s + "\n" + mit for s in SENTENCES]
+    docs = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string")
+    got = {r.doc_id: r.license_id for r in licenses.scan(docs).collect()}
+    assert [rows[i] for i in range(2 * len(NOTICES)) if got[i] != "MIT"] == []
+    assert [rows[i] for i in range(2 * len(NOTICES), len(rows)) if got[i] is not None] == []
+    wrapped = [mit.replace("COPYRIGHT HOLDERS", "\nCOPYRIGHT HOLDERS").replace("copyright notice", "\ncopyright notice"), licenses.LICENSES["BSD-3-Clause"].replace("copyright", "\ncopyright").replace("COPYRIGHT", "\nCOPYRIGHT")]
+    apache = (licenses.TEXTS / "Apache-2.0.txt").read_text(encoding="utf-8")
+    wrapped.append(" ".join(apache.split("END OF TERMS")[0].split()))
+    again = licenses.scan(spark.createDataFrame(list(enumerate(wrapped)), "doc_id long, text string")).collect()
+    assert {r.doc_id: r.license_id for r in again} == {0: "MIT", 1: "BSD-3-Clause", 2: "Apache-2.0"}
+
+
 def test_targets():
     assert mixing.target_sizes([10, 10, 10], [3, 1, 2], 1.5, 2.0) == pytest.approx([20, 25 / 3, 50 / 3])
     assert mixing.target_sizes([0, 10], [3, 1], 1.5, 2.0) == [0, 15]
