@@ -436,7 +436,7 @@ def truth_scan(spark, sf_dir):
 def linkage_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as raw business records, parsed: words 1 to 6 are the name, the next ones the address."""
     d = table(spark, sf_dir, "documents")
-    words = F.split(F.substring(F.coalesce("text", F.lit("")), 1, 400), r"[\s]+")
+    words = F.split(F.coalesce("text", F.lit("")), r"[\s]+")
     name = F.array_join(F.slice(words, 1, 6), " ")
     address = F.concat(F.pmod(F.xxhash64(F.array_join(F.slice(words, 7, 3), " ")), F.lit(997)).cast("string"), F.lit(" "), F.array_join(F.slice(words, 7, 2), " "), F.lit(" Street, "), F.array_join(F.slice(words, 9, 1), " "), F.lit(", "), F.col("source"))
     raw = d.select(F.col("doc_id").cast("string").alias("entity_id"), name.alias("business_name"), F.when(F.size(words) > 8, address).otherwise("").alias("business_address"), F.col("lang").alias("country"))
@@ -450,7 +450,7 @@ def _sides(spark, sf_dir):
 
 
 def _strict_truth(spark, sf_dir):
-    d = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.md5(F.substring("text", 1, 60)).alias("h"), "lang")
+    d = table(spark, sf_dir, "documents").select(F.col("doc_id"), F.sha2("text", 256).alias("h"), "lang")
     return d.filter("doc_id % 4 = 0").select(F.col("doc_id").cast("string").alias("s1_id"), "h", "lang").join(d.filter("doc_id % 4 <> 0").select(F.col("doc_id").cast("string").alias("pool_id"), "h", "lang"), ["h", "lang"]).select("s1_id", "pool_id")
 
 

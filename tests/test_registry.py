@@ -153,3 +153,17 @@ def test_list_checks(spark):
     cands = spark.createDataFrame([("S1-1", "S2-1")], "s1_id string, ids string")
     assert [(r.s1_id, r.ids) for r in E.not_candidates(lists, cands).collect()] == [("S1-1", ["S2-2"])]
     assert tuple(E.list_counts(lists).first()) == (2, 1)
+
+
+def _tiny(spark, path, texts):
+    """A folder with documents only; ids from 0, so that every fourth is of source 1."""
+    spark.createDataFrame([(i, t, "en", "s") for i, t in enumerate(texts)], "doc_id long, text string, lang string, source string").write.parquet(f"{path}/documents.parquet")
+    return str(path)
+
+
+def test_truth_and_records_of_whole_texts(spark, tmp_path):
+    head, long = "same words " * 10, "x" * 500
+    sf = _tiny(spark, tmp_path, [head + "one", head + "two", head + "one", "other", f"{long} b c d e f g h i"])
+    assert {tuple(r) for r in registry._strict_truth(spark, sf).collect()} == {("0", "2")}
+    rows = {r.eid: r for r in registry.linkage_records(spark, sf).collect()}
+    assert rows["4"].n_name.split()[1:] == ["b", "c", "d", "e", "f"] and rows["4"].addr_empty == 0
