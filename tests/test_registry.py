@@ -167,3 +167,9 @@ def test_truth_and_records_of_whole_texts(spark, tmp_path):
     assert {tuple(r) for r in registry._strict_truth(spark, sf).collect()} == {("0", "2")}
     rows = {r.eid: r for r in registry.linkage_records(spark, sf).collect()}
     assert rows["4"].n_name.split()[1:] == ["b", "c", "d", "e", "f"] and rows["4"].addr_empty == 0
+
+
+def test_similarities_of_all_pairs(spark, tmp_path):
+    sf = _tiny(spark, tmp_path, ["silver tech", "silvr tek", "sunny", "other"])
+    rows = {(r.s1_id, r.pool_id): r for r in registry.text_similarities(spark, sf).collect()}
+    assert set(rows) == {(0, 1), (0, 2)} and rows[0, 1].ratio == pytest.approx(SIM.ratio("silver tech", "silvr tek"))
