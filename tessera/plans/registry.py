@@ -484,7 +484,7 @@ def linked(spark, sf_dir):
     rows = materialize(linkage_records(spark, sf_dir), "records")
     one, two = rows.filter("src = 1"), rows.filter("src > 1")
     truth = materialize(_strict_truth(spark, sf_dir), "truth")
-    cfg = linkage.Settings(universe=0.9, hidden=0.05, tab=0.25, train=0.4, val=0.25, rounds=(5, 8, 8), blocking=B.Blocking(min_part=10, k_name=4, k_combo=4, k_addr=2))
+    cfg = linkage.Settings(universe=0.9, hidden=0.05, tab=0.25, train=0.4, val=0.25, blocking=B.Blocking(min_part=10))
     return linkage.predict(linkage.fit(one, two, truth, cfg), one, two, cfg)
 
 

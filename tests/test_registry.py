@@ -173,3 +173,14 @@ def test_similarities_of_all_pairs(spark, tmp_path):
     sf = _tiny(spark, tmp_path, ["silver tech", "silvr tek", "sunny", "other"])
     rows = {(r.s1_id, r.pool_id): r for r in registry.text_similarities(spark, sf).collect()}
     assert set(rows) == {(0, 1), (0, 2)} and rows[0, 1].ratio == pytest.approx(SIM.ratio("silver tech", "silvr tek"))
+
+
+def test_linked_runs_on_default_settings(spark, monkeypatch):
+    seen = []
+    monkeypatch.setattr(registry.linkage, "fit", lambda one, two, truth, cfg: seen.append(cfg))
+    monkeypatch.setattr(registry.linkage, "predict", lambda model, one, two, cfg: seen.append(cfg))
+    registry.linked(spark, SF)
+    default = registry.linkage.Settings()
+    for cfg in seen:
+        assert cfg.rounds == default.rounds and [getattr(cfg.blocking, k) for k in ("k_name", "k_combo", "k_addr")] == [8, 8, 4]
+    assert len(seen) == 2
