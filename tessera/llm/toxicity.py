@@ -8,9 +8,10 @@ and where the second term falls below zero, the step ascends it instead, which
 stops the classifier from fitting the unlabelled positives as negatives.
 
 Features are words (runs of letters, lower-cased) that occur or not, so length and
-repetition don't dilute a toxic word; equal word sets are one training document. Their document counts in both samples rank
+repetition don't dilute a toxic word; equal word sets are one training document. Their counts in both samples rank
 them by the z-score of the difference, and the ``features`` most distinct of those over
-given z-score that ``least_share`` of either sample has are used.
+given z-score that ``least_docs`` of either sample have are used, however large the sample. For
+these counts, documents with equal minima of three hashes over their words (near copies, mostly) are one.
 
 Fit: from at most ``positives`` confirmed and ``unlabelled`` other documents, those
 with the least hashes of their ids (bounds of memory, not of the input). A label of
@@ -41,6 +42,15 @@ def words(text: str | None) -> set[str]:
     return set(LETTERS.findall((text or "").lower()))
 
 
+def _family() -> Column:
+    """Near copies mostly share the minima of three hashes over their words, unlike texts hardly ever."""
+
+    def least(seed: int) -> Column:
+        return F.array_min(F.transform("words", lambda w: F.xxhash64(F.lit(seed), w)))
+
+    return F.xxhash64(*map(least, range(3)))
+
+
 def _sample(docs: DataFrame, most: int, seed: int) -> DataFrame:
     """Distinct word sets of the documents with the least hashes of their ids, most documents at most."""
     h = F.xxhash64(F.lit(seed), F.col("doc_id"))
@@ -52,19 +62,21 @@ def _sample(docs: DataFrame, most: int, seed: int) -> DataFrame:
     found = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))))
     cut = docs.select(h.alias("h")).orderBy("h").limit(most).agg(F.max("h").alias("last"))
     rows = docs.withColumn("h", h).join(F.broadcast(cut), F.col("h") <= F.col("last")).select(found.alias("words"))
-    return materialize(rows.groupBy(F.xxhash64("words").alias("h")).agg(F.first("words").alias("words")).select("words"), "sample")
+    return materialize(rows.groupBy(F.xxhash64("words").alias("h")).agg(F.first("words").alias("words")).select("words", _family().alias("family")), "sample")
 
 
-def distinct_words(in_p: dict[str, int], in_u: dict[str, int], n_p: int, n_u: int, features: int = 500, least_z: float = 3.5) -> list[str]:
-    """The words whose document counts differ most between the samples, by z-score."""
+def distinct_words(pos: DataFrame, unl: DataFrame, features: int = 500, least_docs: int = 5, least_z: float = 3.5) -> list[str]:
+    """The words whose counts of families differ most between the samples, by z-score."""
 
-    def z(w: str) -> float:
-        a, b = in_p.get(w, 0) / n_p, in_u.get(w, 0) / n_u
-        m = (in_p.get(w, 0) + in_u.get(w, 0)) / (n_p + n_u)
-        return abs(a - b) / (m * (1 - m) * (1 / n_p + 1 / n_u) + 1e-12) ** 0.5
+    def counts(sample: DataFrame, name: str) -> DataFrame:
+        return sample.select("family", F.explode("words").alias("w")).distinct().groupBy("w").agg(F.count("*").alias(name))
 
-    ranked = sorted(in_p.keys() | in_u.keys(), key=lambda w: (-z(w), w))
-    return [w for w in ranked[:features] if z(w) > least_z]
+    n_p, n_u = (max(1, sample.select("family").distinct().count()) for sample in (pos, unl))
+    both = counts(pos, "p").join(counts(unl, "u"), "w", "full").fillna(0, ["p", "u"])
+    m = (F.col("p") + F.col("u")) / (n_p + n_u)
+    z = F.abs(F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(m * (1 - m) * (1 / n_p + 1 / n_u) + 1e-12)
+    best = both.filter(F.greatest("p", "u") >= least_docs).select("w", z.alias("z")).filter(F.col("z") > least_z).orderBy(F.desc("z"), "w").limit(features)
+    return [r.w for r in best.collect()]
 
 
 def fit(pos: list[list[str]], unl: list[list[str]], names: list[str], prior: float, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4) -> tuple[dict[str, float], float]:
@@ -110,10 +122,10 @@ def score_column(model: tuple[dict[str, float], float], text: Column) -> Column:
     return score(text)
 
 
-def train(docs: DataFrame, labels: DataFrame, held_out: Column, positives: int = 4000, unlabelled: int = 12_000, least_share: float = 0.05, least_docs: int = 5, seed: int = 8, prior: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[dict[str, float], float]:
+def train(docs: DataFrame, labels: DataFrame, held_out: Column, positives: int = 4000, unlabelled: int = 12_000, least_docs: int = 5, seed: int = 8, prior: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[dict[str, float], float]:
     """The model. held_out (a condition on doc_id) keeps labels and texts out of training.
-    Words are counted by Spark; the driver gets those that at least least_share and
-    least_docs of a sample have, and each sampled document's words among the chosen ones."""
+    Words are counted and ranked by Spark; the driver gets the chosen ones, and each
+    sampled document's words among them."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(~held_out)
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y")).filter(~held_out).filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
     marks = materialize(marks, "marks")
@@ -121,19 +133,9 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, positives: int =
         prior = min(0.9, max(0.001, marks.agg(F.avg(F.col("y").cast("double"))).first()[0] or 0.001))
     toxic = join_slim(slim, marks.filter("y = 1").select("doc_id"), ["doc_id"], "left_semi")
     samples = [_sample(toxic, positives, seed), _sample(slim, unlabelled, seed + 1)]
-    sizes, counts = [s.count() for s in samples], []
-    for sample, n in zip(samples, sizes, strict=True):
-        often = sample.select(F.explode("words").alias("w")).groupBy("w").count().filter(F.col("count") >= max(least_docs, least_share * n))
-        counts.append({r.w: r["count"] for r in often.collect()})
-    if not all(sizes):
+    if any(s.isEmpty() for s in samples):
         return fit([], [], [], prior)
-    # A word that one sample has often needs its exact count in the other.
-    names = sorted(counts[0].keys() | counts[1].keys())
-    known = docs.sparkSession.createDataFrame([(w,) for w in names], "w string")
-    for sample, have in zip(samples, counts, strict=True):
-        rest = sample.select(F.explode("words").alias("w")).join(F.broadcast(known), "w").groupBy("w").count()
-        have.update({r.w: r["count"] for r in rest.collect()})
-    chosen = distinct_words(*counts, *sizes)
+    chosen = distinct_words(*samples, least_docs=least_docs)
     only = F.array_intersect("words", F.array(*map(F.lit, chosen)) if chosen else F.array().cast("array<string>"))
     pos, unl = ([r.words for r in sample.select(only.alias("words")).collect()] for sample in samples)
     return fit(pos, unl, chosen, prior)

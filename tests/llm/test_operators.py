@@ -230,3 +230,21 @@ def test_toxicity(spark, no_docs):
     assert got[None].predicted == 1 and got[1000].predicted == got[1001].predicted == 0
     assert toxicity.toxicity(no_docs, labels, toxicity.held_out_third()).collect() == []
     assert {r.predicted for r in toxicity.toxicity(docs, labels.filter("false"), toxicity.held_out_third()).collect()} == {0}
+
+
+def test_toxic_words_of_a_minority(spark):
+    """A word that a few per cent of the toxic documents have is learned, and the words of one family of near copies are not."""
+    rng = np.random.default_rng(2)
+    words = [f"w{''.join(chr(97 + int(c)) for c in str(i))}" for i in range(300)]
+    family = [f"f{chr(97 + i)}" for i in range(26)] + [f"g{chr(97 + i)}" for i in range(26)]
+    rows, marks = [], []
+    for i in range(4800):
+        bad = i % 8 == 0
+        text = rng.choice(words, 30).tolist() + (["rareslur"] if bad and i % 240 == 0 else ["nasty"] if bad else [])
+        if i % 400 == 8:
+            text = [*family, "nasty", f"x{chr(97 + i // 400)}"]
+        rows.append((i, " ".join(text)))
+        marks.append((i, int(bad)))
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
+    weights, _ = toxicity.train(docs, labels, toxicity.held_out_third())
+    assert weights["rareslur"] > 0 and weights["nasty"] > 0 and not set(weights) & set(family)
