@@ -7,15 +7,19 @@ text and the logistic loss l, the risk is
 and where the second term falls below zero, the step ascends it instead, which
 stops the classifier from fitting the unlabelled positives as negatives.
 
-Features are words (runs of letters, lower-cased) that occur or not, so length and
-repetition don't dilute a toxic word; equal word sets are one training document. Their counts in both samples rank
-them by the z-score of the difference, and the ``features`` most distinct of those over
-given z-score that ``least_docs`` of either sample have are used, however large the sample. For
-these counts, documents with equal minima of three hashes over their words (near copies, mostly) are one.
+Features are words (runs of letters, lower-cased) and their beginnings of ``STEMS``
+letters, which inflected and compounded words share; each occurs in a document or
+not, so length and repetition don't dilute a toxic word, and equal word sets are one
+training document. Their counts in both samples rank them by the z-score of the
+difference, and the ``features`` most distinct of those over ``least_z`` that
+``least_docs`` of either sample have are used, however large the sample. For these
+counts, of documents with equal minima of three hashes over their words (near copies,
+mostly) only one counts.
 
 Fit: from at most ``positives`` confirmed and ``unlabelled`` other documents, those
-with the least hashes of their ids (bounds of memory, not of the input). A label of
-0 is used only to estimate the prior. Scoring covers every text and whole texts.
+with the least hashes of their ids and texts (bounds of memory, not of the input;
+only repeated rows tie). The prior is the share of 1 among the training labels; a
+label of 0 is used for nothing else. Scoring covers every text and whole texts, of any length.
 
 Nulls: a null text has no words and gets the score of the bias. Labels without a
 document, documents without a label and null labels are unlabelled. A document
@@ -25,7 +29,6 @@ rows are scored alike. Other columns are ignored. Empty tables give no rows.
 
 from __future__ import annotations
 
-import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -33,13 +36,34 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tessera.llm.words import letter_words
 from tessera.shared import join_slim, materialize
 
-LETTERS = re.compile(r"[^\W\d_]+")
+#: Lengths of the beginnings of longer words that are features of their own.
+STEMS = range(3, 9)
+#: Words whose features a worker remembers at once.
+KNOWN = 1 << 20
 
 
-def words(text: str | None) -> set[str]:
-    return set(LETTERS.findall((text or "").lower()))
+def word_features(word: str) -> list[str]:
+    """A word and its beginnings, marked by a star."""
+    return [word, *(word[:k] + "*" for k in STEMS if len(word) > k)]
+
+
+def _words(text: Column) -> Column:
+    """Sorted distinct words, found by the function that scoring uses."""
+
+    @F.pandas_udf("array<string>")
+    def found(texts: pd.Series) -> pd.Series:
+        return pd.Series([sorted(set(letter_words(t))) for t in texts])
+
+    return found(text)
+
+
+def _features() -> Column:
+    """Distinct features of the column words: as word_features."""
+    stems = lambda w: F.filter(F.array(w, *[F.when(F.length(w) > k, F.concat(F.substring(w, 1, k), F.lit("*"))) for k in STEMS]), lambda x: x.isNotNull())
+    return F.array_distinct(F.flatten(F.transform("words", stems)))
 
 
 def _family() -> Column:
@@ -52,27 +76,27 @@ def _family() -> Column:
 
 
 def _sample(docs: DataFrame, most: int, seed: int) -> DataFrame:
-    """Distinct word sets of the documents with the least hashes of their ids, most documents at most."""
-    h = F.xxhash64(F.lit(seed), F.col("doc_id"))
+    """Distinct word sets of the documents with the least hashes of their ids and texts, most documents at most but for repeated rows."""
+    docs = docs.withColumn("h", F.xxhash64(F.lit(seed), "doc_id", "text"))
     total = docs.count()
     if total > most:
         # The hash is uniform: a threshold at the wanted share, a little high, then the exact cut.
         share = min(1.0, 1.1 * most / total + 50 / total)
-        docs = docs.filter(h < F.lit(int(-(1 << 63) + share * ((1 << 64) - 1))))
-    found = F.array_sort(F.array_distinct(F.regexp_extract_all(F.lower(F.coalesce("text", F.lit(""))), F.lit(r"\p{L}+"), F.lit(0))))
-    cut = docs.select(h.alias("h")).orderBy("h").limit(most).agg(F.max("h").alias("last"))
-    rows = docs.withColumn("h", h).join(F.broadcast(cut), F.col("h") <= F.col("last")).select(found.alias("words"))
+        docs = docs.filter(F.col("h") < F.lit(int(-(1 << 63) + share * ((1 << 64) - 1))))
+    last = docs.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
+    rows = docs.filter(F.col("h") <= F.lit((1 << 63) - 1 if last is None else last)).select(_words(F.col("text")).alias("words"))
     return materialize(rows.groupBy(F.xxhash64("words").alias("h")).agg(F.first("words").alias("words")).select("words", _family().alias("family")), "sample")
 
 
-def distinct_words(pos: DataFrame, unl: DataFrame, features: int = 500, least_docs: int = 5, least_z: float = 3.5) -> list[str]:
-    """The words whose counts of families differ most between the samples, by z-score."""
+def distinct_features(pos: DataFrame, unl: DataFrame, features: int = 4000, least_docs: int = 5, least_z: float = 5.0) -> list[str]:
+    """The features whose counts of families differ most between the samples, by z-score."""
 
-    def counts(sample: DataFrame, name: str) -> DataFrame:
-        return sample.select("family", F.explode("words").alias("w")).distinct().groupBy("w").agg(F.count("*").alias(name))
+    def counts(sample: DataFrame, name: str) -> tuple[DataFrame, int]:
+        families = materialize(sample.groupBy("family").agg(F.max("words").alias("words")).repartition("family"), "families")
+        return families.select(F.explode(_features()).alias("w")).groupBy("w").agg(F.count("*").alias(name)), max(1, families.count())
 
-    n_p, n_u = (max(1, sample.select("family").distinct().count()) for sample in (pos, unl))
-    both = counts(pos, "p").join(counts(unl, "u"), "w", "full").fillna(0, ["p", "u"])
+    (p, n_p), (u, n_u) = counts(pos, "p"), counts(unl, "u")
+    both = p.join(u, "w", "full").fillna(0, ["p", "u"])
     m = (F.col("p") + F.col("u")) / (n_p + n_u)
     z = F.abs(F.col("p") / n_p - F.col("u") / n_u) / F.sqrt(m * (1 - m) * (1 / n_p + 1 / n_u) + 1e-12)
     best = both.filter(F.greatest("p", "u") >= least_docs).select("w", z.alias("z")).filter(F.col("z") > least_z).orderBy(F.desc("z"), "w").limit(features)
@@ -80,34 +104,32 @@ def distinct_words(pos: DataFrame, unl: DataFrame, features: int = 500, least_do
 
 
 def fit(pos: list[list[str]], unl: list[list[str]], names: list[str], prior: float, steps: int = 1500, rate: float = 0.05, decay: float = 1e-4) -> tuple[dict[str, float], float]:
-    """Weights by word, and the bias, from documents given by their words among names."""
+    """Weights by feature, and the bias, from documents given by their features among names."""
     if not pos or not unl or not names:
         return {}, -30.0
     column = {w: i for i, w in enumerate(names)}
 
-    def matrix(docs: list[list[str]]) -> np.ndarray:
-        x = np.zeros((len(docs), len(column)), np.float32)
-        for i, d in enumerate(docs):
-            x[i, [column[w] for w in d]] = 1
-        return x
+    def entries(docs: list[list[str]]) -> tuple[np.ndarray, np.ndarray]:
+        """Rows and columns of the ones of a sparse matrix."""
+        return np.repeat(np.arange(len(docs)), [len(d) for d in docs]), np.array([column[w] for d in docs for w in d], np.int64)
 
-    x_p, x_u, n_p, n_u = matrix(pos), matrix(unl), len(pos), len(unl)
-    w, b, moments = np.zeros(len(column), np.float32), np.float32(np.log(prior / (1 - prior))), [np.zeros(len(column) + 1, np.float32), np.zeros(len(column) + 1, np.float32)]
+    (r_p, c_p), (r_u, c_u), n_p, n_u = entries(pos), entries(unl), len(pos), len(unl)
+    w, b, moments = np.zeros(len(column)), float(np.log(prior / (1 - prior))), [np.zeros(len(column) + 1), np.zeros(len(column) + 1)]
     sigmoid = lambda v: 1 / (1 + np.exp(-np.clip(v, -30, 30)))
     for step in range(1, steps + 1):
-        s_p, s_u = sigmoid(x_p @ w + b), sigmoid(x_u @ w + b)
+        s_p, s_u = sigmoid(np.bincount(r_p, w[c_p], n_p) + b), sigmoid(np.bincount(r_u, w[c_u], n_u) + b)
         negative = -np.log(1 - s_u + 1e-7).mean() + prior * np.log(1 - s_p + 1e-7).mean()
         # Gradients with respect to f: of l(f) it is s - 1, of l(-f) it is s.
         if negative >= 0:
             g_p, g_u = prior * (s_p - 1) / n_p - prior * s_p / n_p, s_u / n_u
         else:
             g_p, g_u = prior * s_p / n_p, -s_u / n_u
-        g = np.append(g_p @ x_p + g_u @ x_u + decay * w, g_p.sum() + g_u.sum()).astype(np.float32)
+        g = np.append(np.bincount(c_p, g_p[r_p], len(column)) + np.bincount(c_u, g_u[r_u], len(column)) + decay * w, g_p.sum() + g_u.sum())
         moments[0] = 0.9 * moments[0] + 0.1 * g
         moments[1] = 0.999 * moments[1] + 0.001 * g * g
         move = rate * (moments[0] / (1 - 0.9**step)) / (np.sqrt(moments[1] / (1 - 0.999**step)) + 1e-8)
-        w, b = w - move[:-1].astype(np.float32), b - move[-1]
-    return {word: float(w[i]) for word, i in column.items() if abs(w[i]) > 1e-3}, float(b)
+        w, b = w - move[:-1], b - float(move[-1])
+    return {word: float(w[i]) for word, i in column.items() if abs(w[i]) > 1e-3}, b
 
 
 def score_column(model: tuple[dict[str, float], float], text: Column) -> Column:
@@ -115,17 +137,29 @@ def score_column(model: tuple[dict[str, float], float], text: Column) -> Column:
 
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        get = weights.get
+        known: dict[str, tuple] = {}  # the weighted features of a word: mostly none
+
+        def value(text: str | None) -> float:
+            hits = set()
+            for word in set(letter_words(text)):
+                found = known.get(word)
+                if found is None:
+                    if len(known) >= KNOWN:
+                        known.clear()
+                    found = known[word] = tuple(x for x in word_features(word) if x in weights)
+                hits.update(found)
+            return bias + sum(sorted(weights[x] for x in hits))
+
         for batch in texts:
-            yield pd.Series([1 / (1 + np.exp(-np.clip(bias + sum(sorted(get(w, 0.0) for w in words(t))), -30, 30))) for t in batch], dtype="float64")
+            yield pd.Series(1 / (1 + np.exp(-np.clip([value(t) for t in batch], -30, 30))), dtype="float64")
 
     return score(text)
 
 
-def train(docs: DataFrame, labels: DataFrame, held_out: Column, positives: int = 4000, unlabelled: int = 12_000, least_docs: int = 5, seed: int = 8, prior: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[dict[str, float], float]:
+def train(docs: DataFrame, labels: DataFrame, held_out: Column, positives: int = 4000, unlabelled: int = 12_000, least_docs: int = 5, least_z: float = 5.0, seed: int = 8, prior: float | None = None, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> tuple[dict[str, float], float]:
     """The model. held_out (a condition on doc_id) keeps labels and texts out of training.
-    Words are counted and ranked by Spark; the driver gets the chosen ones, and each
-    sampled document's words among them."""
+    Features are counted and ranked by Spark; the driver gets the chosen ones, and each
+    sampled document's among them."""
     slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).filter(~held_out)
     marks = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).alias("y")).filter(~held_out).filter("doc_id is not null and y is not null").groupBy("doc_id").agg(F.max("y").alias("y"))
     marks = materialize(marks, "marks")
@@ -135,8 +169,8 @@ def train(docs: DataFrame, labels: DataFrame, held_out: Column, positives: int =
     samples = [_sample(toxic, positives, seed), _sample(slim, unlabelled, seed + 1)]
     if any(s.isEmpty() for s in samples):
         return fit([], [], [], prior)
-    chosen = distinct_words(*samples, least_docs=least_docs)
-    only = F.array_intersect("words", F.array(*map(F.lit, chosen)) if chosen else F.array().cast("array<string>"))
+    chosen = distinct_features(*samples, least_docs=least_docs, least_z=least_z)
+    only = F.array_intersect(_features(), F.array(*map(F.lit, chosen)) if chosen else F.array().cast("array<string>"))
     pos, unl = ([r.words for r in sample.select(only.alias("words")).collect()] for sample in samples)
     return fit(pos, unl, chosen, prior)
 

@@ -246,5 +246,30 @@ def test_toxic_words_of_a_minority(spark):
         rows.append((i, " ".join(text)))
         marks.append((i, int(bad)))
     docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(marks, "doc_id long, toxic int")
-    weights, _ = toxicity.train(docs, labels, toxicity.held_out_third())
+    weights, _ = toxicity.train(docs, labels, toxicity.held_out_third(), least_z=3.5)
     assert weights["rareslur"] > 0 and weights["nasty"] > 0 and not set(weights) & set(family)
+
+
+def test_toxic_stems(spark):
+    """Words that occur once each but begin alike are learned by their beginning; the words of training and scoring are the same."""
+    rng = np.random.default_rng(3)
+    words = [f"w{''.join(chr(97 + int(c)) for c in str(i))}" for i in range(300)]
+    ending = lambda i: "".join(chr(97 + int(c)) for c in f"{i:05d}")
+    rows = [(i, " ".join(rng.choice(words, 30).tolist() + ([f"Schurk{ending(i)}"] if i % 8 == 0 else []))) for i in range(2000)]
+    docs, labels = spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame([(i, int(i % 8 == 0)) for i in range(2000)], "doc_id long, toxic int")
+    got = {r.doc_id: r for r in toxicity.toxicity(docs, labels, toxicity.held_out_third()).collect()}
+    assert all(r.predicted == int(i % 8 == 0) for i, r in got.items())
+    assert toxicity.letter_words("Æther ½x² Ⅷa_b 日本") == ["æther", "x", "a", "b", "日本"]
+    assert toxicity.word_features("abcde") == ["abcde", "abc*", "abcd*"]
+
+
+def test_toxicity_of_repeated_rows_and_long_texts(spark):
+    """Repeated ids don't swell the sample, a toxic word counts wherever it is in a long text."""
+    rows = [(i, f"plain text number {chr(97 + i % 26)}{chr(97 + i // 26 % 26)} here" + (" nasty" if i % 5 == 0 else "")) for i in range(600)] + [(7, "again and again")] * 300 + [(None, "nobody")] * 300
+    rows.append((5000, "fine word " * 60_000 + "nasty"))
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 5 == 0)) for i in range(600)], "doc_id long, toxic int")
+    sample = toxicity._sample(docs, 50, 1)
+    assert 0 < sample.count() <= 50
+    got = toxicity.toxicity(docs, labels, toxicity.held_out_third())
+    assert got.count() == len(rows) and got.filter("doc_id = 5000 or doc_id % 5 = 0 and doc_id < 600").filter("predicted = 0").isEmpty()
