@@ -11,7 +11,7 @@ import tempfile
 import types
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 #: Most rows of a slim (one or two long columns) join side that may be broadcast; beyond it the join shuffles.
@@ -82,6 +82,40 @@ def join_slim(df: DataFrame, slim: DataFrame, on: list[str], how: str, most: int
     return df.join(F.broadcast(slim) if slim.limit(most + 1).count() <= most else slim, on, how)
 
 
+def join_hot(df: DataFrame, keys: DataFrame, on: list[str], count: str, how: str = "inner", hot: int = 2000) -> DataFrame:
+    """Inner or left join of materialized df with materialized keys, whose column ``count`` says how many rows of df a
+    key has. Keys with more than 1 / hot of all those rows (fewer than hot keys, so they are broadcast) never
+    meet in one task; the rest shuffles. Rows of keys that df lacks don't matter. The column count goes."""
+    if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS:
+        return df.join(F.broadcast(keys.drop(count)), on, how)
+    bound = max(1, (keys.agg(F.sum(count)).first()[0] or 0) // hot)
+    heavy = keys.filter(F.col(count) > bound).drop(count)
+    known = F.broadcast(heavy.select(*on))
+    return df.join(F.broadcast(heavy), on).unionByName(df.join(known, on, "left_anti").join(keys.filter(F.col(count) <= bound).drop(count), on, how))
+
+
+def ranked(df: DataFrame, group: list[str], order: list, parts: int) -> DataFrame:
+    """df with rank (from 1) and total (rows) of its group in the given order, however large a group: rows are
+    range-partitioned and sorted, numbered in their partition as they are written, and shifted by the group's rows in
+    the partitions before. order must name every row that ranks differently; nulls are a group."""
+    keys = [*[F.col(g).asc_nulls_last() for g in group], *order]
+    dealt = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    rows = materialize(dealt.withColumn("_at", F.monotonically_increasing_id()), "ranked")
+    # The id is the partition in the upper bits and the row's place in it in the lower 33.
+    rows = rows.withColumn("_part", F.shiftright("_at", 33)).withColumn("_at", F.col("_at").bitwiseAND(F.lit((1 << 33) - 1)))
+    counts = rows.groupBy(*group, "_part").agg(F.min("_at").alias("_first"), F.count("*").alias("_n"))
+    before = Window.partitionBy(*group).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    shift = counts.select(*[F.col(g).alias(f"_{g}") for g in group], F.col("_part").alias("_p"), (F.coalesce(F.sum("_n").over(before), F.lit(0)) - F.col("_first") + 1).alias("_shift"), F.sum("_n").over(Window.partitionBy(*group)).alias("total"))
+    # At most partitions + groups rows.
+    shift = materialize(shift, "shift")
+    match = F.col("_part") == F.col("_p")
+    for g in group:
+        match = match & F.col(g).eqNullSafe(F.col(f"_{g}"))
+    small = shift.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    out = rows.join(F.broadcast(shift) if small else shift, match)
+    return out.select(*df.columns, (F.col("_at") + F.col("_shift")).alias("rank"), "total")
+
+
 def release_memory() -> None:
     """Gives a Python worker's freed memory back to the machine: workers live as long as their
     executor, and what one stage's arrays took would be missing in the next."""
