@@ -96,13 +96,47 @@ def _covered(rows, length):
     return sorted(out, key=str)
 
 
+def _covered_words(rows, length):
+    bodies = [re.findall(r"[^\x20\x09-\x0D]+", r.text or "") for r in rows]
+    counts = collections.Counter(tuple(b[i : i + length]) for b in bodies for i in range(len(b) - length + 1))
+    covered = lambda b: {j for i in range(len(b) - length + 1) if counts[tuple(b[i : i + length])] > 1 for j in range(i, i + length)}
+    return sorted([(r.doc_id, len(covered(b))) for r, b in zip(rows, bodies, strict=True)], key=str)
+
+
 @pytest.mark.parametrize("fixture", ["awkward", "small", "no_docs"])
 @pytest.mark.parametrize("slices", [1, 2000])
 def test_spans(fixture, slices, request):
     docs = request.getfixturevalue(fixture).filter("doc_id is null or doc_id <> 20")
     length = 120
-    got = repeated_spans(docs, length=length, slice_classes=slices).collect()
+    got = repeated_spans(docs, length=length, words=12, slice_classes=slices).collect()
     assert sorted([tuple(r)[:5] for r in got], key=str) == _covered(docs.collect(), length)
+    assert sorted([(r.doc_id, r.repeated_words) for r in got], key=str) == _covered_words(docs.collect(), 12)
+
+
+def test_spans_over_pieces(spark, monkeypatch):
+    """The production length of 400 bytes, texts longer than a piece, and a hot gram."""
+    import random
+
+    from tessera import shared
+    from tessera.llm import suffix_dedup
+
+    monkeypatch.setattr(suffix_dedup, "PIECE", 1000)
+    monkeypatch.setattr(shared, "BROADCAST_ROWS", 5)
+    rng = random.Random(7)
+    some = lambda n: "".join(rng.choice("abcdefg ") for _ in range(n))
+    shared_part, hot = some(1500), some(399)
+    texts = [some(2500) + shared_part + some(700), shared_part[300:] + some(100), some(900)] + [some(rng.randrange(300)) + hot + some(rng.randrange(300)) for _ in range(30)] + [hot + "q" + some(50)] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = repeated_spans(docs, slice_classes=7).collect()
+    assert sorted([tuple(r)[:5] for r in got], key=str) == _covered(docs.collect(), 400)
+    assert sorted([(r.doc_id, r.repeated_words) for r in got], key=str) == _covered_words(docs.collect(), 50)
+
+
+def test_a_hash_collision_is_no_repeat():
+    from tessera.llm.suffix_dedup import _neighbours_agree
+
+    units = np.frombuffer(b"abcabcabdabc", np.uint8)
+    assert _neighbours_agree(units, np.array([0, 3, 6, 9]), 3, rows=2).tolist() == [True, False, False]
 
 
 @pytest.mark.parametrize("block", [3, 8, 1000])
