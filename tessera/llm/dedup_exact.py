@@ -6,11 +6,17 @@ distinct text on to the partition of its (length, content hash); there a second
 trie joins the rows of all tasks. A terminal node stores the text's owner (most
 code points in the original text, then smallest doc_id, then first row), the
 number of rows and nothing else, so that a group of any size costs one node. When
-a trie holds more bytes than its bound, its largest subtree moves to an anonymous
-scratch file of the task and is finished after the others.
+a trie holds more bytes than its bound, its largest subtree (or longest leaf) moves to an anonymous
+scratch file of the task and is finished after the others; a retried task begins it anew. Map tasks
+empty their trie instead.
+
+A second, slim row per document (no text) goes by (length, row number) to any partition, whatever
+group it is in. Groups of several rows are joined to it last: where they are few they are
+broadcast, else those groups with a two-thousandth of all rows or more, and only the rest shuffles.
 
 Nulls: a null text is empty; all empty texts are equal. Null doc_ids are kept as
-they are and rank last. Repeated rows count as copies; exactly one of them stays.
+they are and rank last. Ties (equal code points and doc_id) go to one of the rows, which one is
+not defined. Repeated rows count as copies; exactly one of them stays. A text of any length is one key.
 Other columns of the input are ignored. An empty table gives no rows.
 """
 
@@ -26,7 +32,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.shared import map_arrow, materialize, parts_for
+from tessera.shared import join_hot, map_arrow, materialize, parts_for
 
 WHITE = b" \t\n\v\f\r"
 LAST_ID = (1 << 63) - 1
@@ -97,20 +103,20 @@ class Patricia:
         top = self.root
         while len(top.kids) == 1 and top.value is None:
             top = next(iter(top.kids.values()))
-        sizes = {k: sum(len(n.label) + 200 for n, _ in self._nodes(kid, b"")) for k, kid in top.kids.items() if kid.kids}
+        sizes = {k: sum(len(n.label) + 200 for n, _ in self._nodes(kid, b"")) for k, kid in top.kids.items() if kid.kids or kid.spill is None and len(kid.label) > 1}
         if not sizes:
-            self.limit *= 2  # one key below each branch: nothing to part
-            return
+            return  # every branch is one byte long and in a file already: 256 nodes at most
         kid = top.kids[max(sizes, key=sizes.get)]
-        file = tempfile.TemporaryFile()
-        for node, rest in self._nodes(kid, b""):
+        # The branch keeps the first byte of its label; the rest and all below it go to the file.
+        file, rest_of = tempfile.TemporaryFile(), kid.label[1:]
+        for node, rest in self._nodes(kid, rest_of):
             if node.value is not None:
                 pickle.dump((rest, node.value), file)
             if node.spill is not None:
                 for key, value in self._entries(node.spill):
                     pickle.dump((rest + key, value), file)
-        kid.value, kid.kids, kid.spill = None, {}, file
-        self.held -= max(sizes.values())
+        kid.label, kid.value, kid.kids, kid.spill = kid.label[:1], None, {}, file
+        self.held -= max(sizes.values()) - 201
 
     @staticmethod
     def _entries(file) -> Iterator[tuple[bytes, tuple]]:
@@ -220,7 +226,7 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     table = materialize(mixed.drop("route", "body"), "exact", ["kind"])
     rows = table.filter("kind = 0").select("doc_id", "uid", "n_bytes", "sha")
     groups = table.filter("kind = 1").select("n_bytes", "sha", F.col("doc_id").alias("owner"), F.col("uid").alias("owner_uid"), "copies")
-    joined = rows.join(groups, ["n_bytes", "sha"], "left")
+    joined = join_hot(rows, groups.withColumn("rows", F.col("copies")), ["n_bytes", "sha"], "rows", "left")
     return joined.select(
         "doc_id",
         F.when(F.col("copies").isNull(), F.col("doc_id")).otherwise(F.col("owner")).alias("keep_id"),
