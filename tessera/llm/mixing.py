@@ -10,23 +10,20 @@ words taken stay within about one document of the target.
 The running sum needs each document's rank in its source: rows (without texts)
 are range-partitioned by (source, size, id hash), numbered inside each partition,
 and shifted by the counts of the partitions before. A source of any size is
-spread over as many partitions as its rows need.
+spread over as many partitions as its rows need, and sources may be any number: their order and
+targets are found in Spark too.
 
 Nulls: a null text has size 0; a null source is a source of its own, last. A
 source of size 0 has target 0 and nothing is taken of it. Repeated rows are
-separate documents. An empty table gives no rows. Other columns are ignored.
+separate documents; ties in size go by a hash of the id, then the id. A text of any length counts whole. An empty table gives no rows. Other columns are ignored.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pyarrow as pa
-from pyspark import TaskContext
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tessera.shared import map_arrow, materialize, parts_for
+from tessera.shared import BROADCAST_ROWS, materialize, parts_for, ranked
 
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -36,65 +33,42 @@ def word_count(text) -> F.Column:
     return F.regexp_count(F.coalesce(text.cast("string"), F.lit("")), F.lit(WORD)).cast("long")
 
 
-def target_sizes(sizes: list[tuple], weights: list[float], share: float, most: float) -> list[float]:
-    """Targets of sources with the given sizes, in order: share of the sum of sizes
-    dealt by weight; what exceeds ``most`` times a size is dealt again by weight."""
-    total, targets = share * sum(sizes), [0.0] * len(sizes)
-    open_ = [i for i, s in enumerate(sizes) if s > 0]
-    left = total
-    while open_:
-        scale = left / sum(weights[i] for i in open_)
-        full = [i for i in open_ if weights[i] * scale > most * sizes[i]]
-        if not full:
-            for i in open_:
-                targets[i] = weights[i] * scale
-            break
-        for i in full:
-            targets[i] = most * sizes[i]
-            left -= targets[i]
-        open_ = [i for i in open_ if i not in full]
-    return targets
-
-
-def _numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    part, seen, n = TaskContext.get().partitionId(), None, 0
-    for batch in batches:
-        local = []
-        for source in batch.column(1).to_pylist():
-            if (source,) != seen:
-                seen, n = (source,), 0
-            n += 1
-            local.append(n)
-        size = len(local)
-        yield pa.record_batch([*batch.columns, pa.array([part] * size, pa.int64()), pa.array(local, pa.int64())], names=[*batch.schema.names, "part", "local"])
+def with_targets(sources: DataFrame, share: float, most: float) -> DataFrame:
+    """sources (size, weight and other columns) with target: share of the sum of sizes dealt by weight; what exceeds
+    ``most`` times a size is dealt again by weight. The level of the rest rises round by round until no further source
+    is full; a round is one aggregate, and the driver sees four numbers whatever the number of sources."""
+    total, weights = sources.filter("size > 0").agg(F.sum("size"), F.sum("weight")).first()
+    if not total:
+        return sources.withColumn("target", F.lit(0.0))
+    cap, level, full = F.lit(float(most)) * F.col("size"), share * total / weights, -1
+    while True:
+        over = F.col("weight") * F.lit(level) > cap
+        n, taken, open_ = sources.filter("size > 0").agg(F.count(F.when(over, 1)), F.coalesce(F.sum(F.when(over, cap)), F.lit(0.0)), F.coalesce(F.sum(F.when(~over, F.col("weight"))), F.lit(0.0))).first()
+        if n == full or not open_:
+            return sources.withColumn("target", F.when(F.col("size") > 0, F.least(F.col("weight") * F.lit(level), cap)).otherwise(0.0))
+        full, level = n, (share * total - taken) / open_
 
 
 def mixture(docs: DataFrame, weights: tuple = (3.0, 1.0, 2.0), share: float = 1.5, most: float = 2.0, seed: int = 17, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source") -> DataFrame:
-    """One row per document: doc_id, source, size, source_size, target, copies, taken, uid.
+    """One row per document: doc_id, source, size, source_size, target, copies, taken.
     weights repeat over the sources in code-point order, null last."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(source_col).cast("string").alias("source"), word_count(F.col(text_col)).alias("size"))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_for(docs, 64 << 20))
     # Written first: range partitioning reads its input twice, and texts should be read once.
-    keyed = materialize(slim, "sizes").withColumn("tie", F.xxhash64(F.lit(seed), "doc_id"))
-    order = [F.col("source").asc_nulls_last(), "size", "tie", F.col("doc_id").asc_nulls_last()]
-    dealt = keyed.repartitionByRange(n, *order).sortWithinPartitions(*order)
-    ranked = materialize(dealt.select("doc_id", "source", "size").transform(map_arrow, _numbered, "doc_id long, source string, size long, part long, local long"), "mixture")
-    counts = ranked.groupBy("source", "part").agg(F.count("*").alias("n"), F.sum("size").alias("words"))
-    counts = materialize(counts, "counts")
-    # One row per source: the number of sources is that of the mixing recipe.
-    sources = counts.groupBy("source").agg(F.sum("words").alias("words")).orderBy(F.col("source").asc_nulls_last()).collect()
+    keyed = materialize(slim, "sizes")
+    order = [F.col("size").asc(), F.xxhash64(F.lit(seed), "doc_id").asc(), F.col("doc_id").asc_nulls_last()]
+    rows = ranked(keyed, ["source"], order, n).drop("total")
+    sizes = materialize(keyed.groupBy("source").agg(F.sum("size").alias("size")), "sources")
     # Spark orders strings by their UTF-8 bytes, which is code-point order.
-    targets = target_sizes([r.words for r in sources], [weights[i % len(weights)] for i in range(len(sources))], share, most)
-    plan = spark.createDataFrame([(r.source, int(r.words), float(t)) for r, t in zip(sources, targets, strict=True)], "source string, source_size long, target double")
-    before = Window.partitionBy("source").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
-    base = counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))).select(F.col("source").alias("s2"), F.col("part").alias("p2"), "base")
-    base = base.join(F.broadcast(plan), F.col("s2").eqNullSafe(plan["source"])).select("s2", "p2", "base", "source_size", "target")
-    # base: at most partitions + sources rows.
-    rows = ranked.join(F.broadcast(base), F.col("source").eqNullSafe(F.col("s2")) & (F.col("part") == F.col("p2")))
+    numbered = ranked(sizes.withColumn("_all", F.lit(1)), ["_all"], [F.col("source").asc_nulls_last()], 8).drop("_all", "total")
+    weight = F.get(F.array(*[F.lit(float(w)) for w in weights]), F.pmod(F.col("rank") - 1, F.lit(len(weights))).cast("int"))
+    plan = materialize(with_targets(materialize(numbered.withColumn("weight", weight), "weights"), share, most), "plan")
+    plan = plan.select(F.col("source").alias("_source"), F.col("size").alias("source_size"), "target")
+    small = plan.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    rows = rows.join(F.broadcast(plan) if small else plan, F.col("source").eqNullSafe(F.col("_source")))
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(F.lit(0.0))
     offset = F.pmod(F.xxhash64(F.lit(seed + 1), F.coalesce("source", F.lit("\0null"))), F.lit(1 << 30)) / float(1 << 30)
-    rank = F.col("base") + F.col("local")
-    copies = F.floor(rank * rate + offset) - F.floor((rank - 1) * rate + offset)
+    copies = F.floor(F.col("rank") * rate + offset) - F.floor((F.col("rank") - 1) * rate + offset)
     copies = F.least(copies, F.lit(int(-(-most // 1)))).cast("long")
     return rows.select("doc_id", "source", "size", "source_size", "target", copies.alias("copies"), (copies * F.col("size")).alias("taken"))
