@@ -8,12 +8,14 @@ fixed length where the multiples of the window fall; pieces at a boundary carry
 their sequence and offset like all others. No ids are shuffled. Only the last
 sequence can be short.
 
-Fast path: a text whose characters are all below U+0250 goes to a BPE engine loaded
-with the vocabulary of the same tokenizer file; all others to the file's own library. Both give the
-same ids; a test compares them over every such character.
-
-Nulls: a null text is empty and has one id, the end mark. Repeated rows are packed
-as often as they occur. Other columns are ignored. An empty table gives no rows.
+Fast path: a text whose characters are all below U+0250 and that names none of the file's
+special tokens goes to a BPE engine loaded with the vocabulary of the same tokenizer file; all
+others to the file's own library, called as it is, so that a special token's string in
+a text is that token. Both give the same ids; tests compare them over every such character and over whole tables.
+
+Nulls: a null text is empty and has one id, the end mark; null ids stay null. Repeated rows are packed
+as often as they occur. Documents are laid out in the order of the input, so no ties arise. A text of any
+length is encoded whole and cut into as many pieces as it needs. Other columns are ignored. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -41,8 +43,9 @@ def default_tokenizer() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
-def encoder(path: str):
-    """A function from a list of texts to a list of id lists; loaded once per process."""
+def encoder(path: str | None = None):
+    """A function from a list of texts to a list of id lists; loaded once per process, from where this machine has the file."""
+    path = path or default_tokenizer()
     loaded = process_cache().setdefault("encoders", {})
     if path not in loaded:
         import json
@@ -57,6 +60,7 @@ def encoder(path: str):
         with open(path, encoding="utf-8") as f:
             file = json.load(f)
         special = {t["content"] for t in file.get("added_tokens", ())}
+        hard = re.compile("|".join([PLAIN.pattern, *map(re.escape, sorted(special))]))
         ranks = {bytes(byte_of[c] for c in token): i for token, i in file["model"]["vocab"].items() if token not in special}
         del file
         quick = tiktoken.Encoding("file", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
@@ -66,17 +70,16 @@ def encoder(path: str):
         def exact(text: str) -> list[int]:
             if not kept:  # loaded only where a text needs it: it takes as much memory again
                 kept.append(Tokenizer.from_file(path))
-                kept[0].encode_special_tokens = True
             return kept[0].encode(text, add_special_tokens=False).ids
 
         def run(texts: list[str]) -> list[list[int]]:
-            return [exact(t) if PLAIN.search(t) else quick.encode_ordinary(t) for t in texts]
+            return [exact(t) if hard.search(t) else quick.encode_ordinary(t) for t in texts]
 
         loaded[path] = run
     return loaded[path]
 
 
-def _tokens(path: str, end: int):
+def _tokens(path: str | None, end: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode, part, before = encoder(path), TaskContext.get().partitionId(), 0
         for batch in batches:
@@ -117,7 +120,7 @@ def pack(docs: DataFrame, window: int = 1024, end_id: int = 0, tokenizer: str |
     padded (the sequence's length after padding: the window, or its own if a power of two)."""
     spark = docs.sparkSession
     slim = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    tokens = materialize(slim.transform(map_arrow, _tokens(tokenizer or default_tokenizer(), end_id), _TOKENS), "tokens")
+    tokens = materialize(slim.transform(map_arrow, _tokens(tokenizer, end_id), _TOKENS), "tokens")
     # One total per map task: as many rows as partitions.
     totals = sorted(tokens.groupBy("part").agg(F.sum("n").alias("n")).collect())
     bases, total = [], 0
