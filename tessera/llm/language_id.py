@@ -20,7 +20,6 @@ gives no rows.
 
 from __future__ import annotations
 
-import re
 from bisect import bisect_right
 from collections.abc import Iterator
 
@@ -30,12 +29,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.shingles import mix
+from tessera.llm.words import LETTERS, letter_words
 from tessera.shared import map_arrow, materialize
 
 BUCKETS = 1 << 16
 WEIGHT = 2.0
 SWITCH = 6.0
-LETTERS = re.compile(r"[^\W\d_]+")
 #: First code points of blocks and their scripts.
 SCRIPTS = [(0x0, "latin"), (0x370, "greek"), (0x400, "cyrillic"), (0x530, "armenian"), (0x590, "hebrew"), (0x600, "arabic"), (0x700, "other"), (0x900, "devanagari"), (0x980, "bengali"), (0xA00, "gurmukhi"), (0xA80, "gujarati"), (0xB00, "oriya"), (0xB80, "tamil"), (0xC00, "telugu"), (0xC80, "kannada"), (0xD00, "malayalam"), (0xD80, "sinhala"), (0xE00, "thai"), (0xE80, "lao"), (0xF00, "tibetan"), (0x1000, "myanmar"), (0x10A0, "georgian"), (0x1100, "hangul"), (0x1200, "ethiopic"), (0x1380, "other"), (0x1780, "khmer"), (0x1800, "mongolian"), (0x18B0, "other"), (0x1E00, "latin"), (0x1F00, "greek"), (0x2000, "other"), (0x3040, "kana"), (0x3100, "han"), (0x3130, "hangul"), (0x3190, "han"), (0xA000, "other"), (0xAC00, "hangul"), (0xD800, "other"), (0xF900, "han"), (0xFB00, "latin"), (0xFB1D, "hebrew"), (0xFB50, "arabic"), (0xFE00, "other"), (0x20000, "han"), (0x30000, "other")]
 _STARTS = [s for s, _ in SCRIPTS]
@@ -171,7 +170,7 @@ class Labeller:
 
     def label(self, texts: list[str | None]) -> tuple[list[list[str]], np.ndarray, np.ndarray]:
         """The texts' words, their numbers, and the language number of each word of all texts in turn."""
-        found = [LETTERS.findall((t or "").lower()) for t in texts]
+        found = [letter_words(t) for t in texts]
         if len(self.known) > self.most:
             self.known, self.table = {}, self.table[:0]
         new = sorted({w for ws in found for w in ws} - self.known.keys())

@@ -150,10 +150,51 @@ def test_copyright_notices(spark):
     assert {r.doc_id: r.license_id for r in again} == {0: "MIT", 1: "BSD-3-Clause", 2: "Apache-2.0"}
 
 
-def test_targets():
-    assert mixing.target_sizes([10, 10, 10], [3, 1, 2], 1.5, 2.0) == pytest.approx([20, 25 / 3, 50 / 3])
-    assert mixing.target_sizes([0, 10], [3, 1], 1.5, 2.0) == [0, 15]
-    assert mixing.target_sizes([], [], 1.5, 2.0) == []
+def _targets(sizes, weights, share=1.5, most=2.0):
+    """The contract's rule, source by source: a full source leaves, and what it couldn't take is dealt again."""
+    left, out, open_ = share * sum(sizes), [0.0] * len(sizes), [i for i, s in enumerate(sizes) if s]
+    while open_:
+        part = left / sum(weights[i] for i in open_)
+        full = [i for i in open_ if weights[i] * part > most * sizes[i]]
+        for i in full or open_:
+            out[i] = most * sizes[i] if full else weights[i] * part
+            left -= most * sizes[i] if full else 0
+        open_ = [i for i in open_ if full and i not in full]
+    return out
+
+
+def test_targets(spark):
+    rng = np.random.default_rng(0)
+    cases = [[10, 10, 10], [0, 10], [0], [1, 1000, 1, 1], rng.integers(0, 1000, 50).tolist()]
+    for sizes in cases:
+        weights = [(3.0, 1.0, 2.0)[i % 3] for i in range(len(sizes))]
+        table = spark.createDataFrame([(i, s, w) for i, (s, w) in enumerate(zip(sizes, weights, strict=True))], "i int, size long, weight double")
+        got = [r.target for r in mixing.with_targets(table, 1.5, 2.0).orderBy("i").collect()]
+        assert got == pytest.approx(_targets(sizes, weights))
+    assert _targets([10, 10, 10], [3, 1, 2]) == pytest.approx([20, 25 / 3, 50 / 3])
+
+
+def test_mixing_query_against_plain_rules(spark):
+    """The registered query on a whole table: sizes, sources' sizes and targets exact, taken words near targets, no document over twice its size."""
+    from tessera.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").collect()
+    got = {r.doc_id: r for r in QUERIES["op7_mix_sources"](spark, sf).collect()}
+    size = {r.doc_id: len(re.findall(r"[^\x20\x09-\x0D]+", r.text or "")) for r in docs}
+    total = collections.Counter()
+    for r in docs:
+        total[r.source] += size[r.doc_id]
+    names = sorted(total, key=lambda s: (s is None, s))
+    target = dict(zip(names, _targets([total[s] for s in names], [(3, 1, 2)[i % 3] for i in range(len(names))]), strict=True))
+    taken = collections.Counter()
+    for r in docs:
+        g = got[r.doc_id]
+        assert (g.size, g.source_size) == (size[r.doc_id], total[r.source]) and g.target == pytest.approx(target[r.source])
+        assert 0 <= g.taken <= 2 * g.size and (not g.size or g.taken % g.size == 0)
+        taken[r.source] += g.taken
+    most = max(size.values())
+    assert len(got) == len(docs) and all(abs(taken[s] - target[s]) <= 2 * most for s in names)
 
 
 def test_mixing(spark, awkward, no_docs):
@@ -176,8 +217,7 @@ def test_packing(spark, awkward, no_docs):
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(packing.default_tokenizer())
-    exact.encode_special_tokens = True
-    docs = awkward.unionByName(spark.createDataFrame([(30, "日本語 mixed 文"), (31, "a <|endoftext|> b")], "doc_id long, text string"), allowMissingColumns=True).repartition(3)
+    docs = awkward.unionByName(spark.createDataFrame([(30, "日本語 mixed 文"), (31, "a <|endoftext|> b"), (32, "<|endoftext|>" * 3), (33, "lang " * 2000)], "doc_id long, text string"), allowMissingColumns=True).repartition(3)
     got = packing.pack(docs, window=64).collect()
     place, pieces = collections.defaultdict(list), collections.Counter()
     for r in got:
@@ -205,13 +245,62 @@ def test_quick_tokens_are_exact():
     from tokenizers import Tokenizer
 
     exact = Tokenizer.from_file(packing.default_tokenizer())
-    exact.encode_special_tokens = True
     encode = packing.encoder(packing.default_tokenizer())
     chars = [chr(c) for c in range(0x250)]
     texts = [f"a{x}b {x}{x} {x}1{x}" for x in chars] + ["".join(chars), " " * 50, "don't we'LL  \n\n x", "A" * 300]
     assert encode(texts) == [exact.encode(t, add_special_tokens=False).ids for t in texts]
 
 
+def test_packing_query_on_a_whole_table(spark):
+    """The registered query against the tokenizer called as the contract names it, piece by piece, at 1024."""
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    from tessera.llm.queries import QUERIES
+
+    exact = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    sf = "/root/testdata/sf0.001"
+    ids = {r.doc_id: [*exact.encode(r.text or "", add_special_tokens=False).ids, 0] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got, covered = QUERIES["op10_pack_sequences"](spark, sf).collect(), collections.Counter()
+    for r in got:
+        part = ids[r.doc_id][r.start : r.start + r.length]
+        assert (r.doc_tokens, r.ids_crc32) == (len(ids[r.doc_id]), zlib.crc32(np.array(part, "<u4").tobytes()))
+        covered[r.doc_id] += r.length
+    assert covered == {d: len(x) for d, x in ids.items()}
+    place = sorted((r.sequence_id, r.offset, r.length) for r in got)
+    assert all(n[1] == (o + k if s == n[0] else 0) for (s, o, k), n in zip(place, place[1:], strict=False))
+
+
+def test_language_query_on_a_whole_table(spark):
+    """The registered query: held-out accuracy, und exactly for texts without a letter."""
+    import unicodedata
+
+    from tessera.llm.queries import QUERIES
+
+    sf = "/root/testdata/sf0.001"
+    docs = {r.doc_id: r for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    got = QUERIES["op5_language_id"](spark, sf).collect()
+    assert len(got) == len(docs)
+    right = []
+    for r in got:
+        text = docs[r.doc_id].text or ""
+        assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) and 0 <= r.score <= 1
+        assert (r.lang_pred == "und") == (not any(unicodedata.category(c)[0] == "L" for c in text))
+        if r.held_out and docs[r.doc_id].lang and r.lang_pred != "und":
+            right.append(r.lang_pred == docs[r.doc_id].lang)
+    assert np.mean(right) > 0.97
+
+
+def test_language_edges(spark):
+    """Numbers that are no letters, columns with clashing names, no rows, a very long text."""
+    docs = spark.createDataFrame([(i, t, lang) for i, (t, lang) in enumerate([("the cat and the dog", "en"), ("der hund und die katze", "de")] * 20)], "doc_id long, text string, lang string").selectExpr("*", "'x' as word", "'y' as bucket", "1 as n", "2 as score")
+    model = LI.train(docs)
+    ask = spark.createDataFrame([(1, "½ ² Ⅷ ४ 12"), (2, "the dog " * 200_000), (3, "_"), (None, "der hund")], "doc_id long, text string").selectExpr("*", "'x' as lang_pred", "1 as words")
+    got = {r.doc_id: (r.lang_pred, r.score) for r in LI.identify(ask, model).collect()}
+    assert got == {1: ("und", 0.0), 2: ("en", 1.0), 3: ("und", 0.0), None: ("de", 1.0)}
+    assert LI.identify(ask.filter("false"), model).collect() == []
+
+
 def test_toxicity(spark, no_docs):
     rng = np.random.default_rng(1)
     words = [f"w{''.join(chr(97 + int(c)) for c in str(i))}" for i in range(300)]
