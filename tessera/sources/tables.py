@@ -11,8 +11,8 @@ import json
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tessera.functions.address import address_views
-from tessera.functions.text import country, name_views
+from tessera.functions.address import ADDRESS_VIEWS, address_views
+from tessera.functions.text import NAME_VIEWS, country, name_views
 
 RAW = ("entity_id", "business_name", "business_address", "country")
 
@@ -45,8 +45,8 @@ def read_truth(spark: SparkSession, path: str) -> DataFrame:
 def normalised(raw: DataFrame, src: int) -> DataFrame:
     """Records with name and address views; a raw table's rows keep their ids."""
     parsed = raw.select(F.lit(src).alias("src"), F.col("entity_id").alias("eid"), country("country").alias("country"), F.col("business_name").alias("raw_name"), F.col("business_address").alias("raw_addr"), name_views(F.col("business_name")).alias("n"), address_views(F.col("business_address")).alias("a"))
-    names = [F.col(f"n.{c}").alias(f"n_{c}") for c in ("name", "name_alt", "core", "core2", "sorted2", "compact", "skel", "legal", "dom", "first", "ntok")]
-    parts = [F.col(f"a.{c}").alias(f"a_{c}") for c in ("comps", "alpha", "hn", "hn_runs", "nums", "street", "stype", "loc", "unit", "postal", "has_hn_kw", "ncomp")]
+    names = [F.col(f"n.{c}").alias(f"n_{c}") for c in NAME_VIEWS]
+    parts = [F.col(f"a.{c}").alias(f"a_{c}") for c in ADDRESS_VIEWS]
     return parsed.select("src", "eid", "country", "raw_name", "raw_addr", *names, *parts).withColumn("addr_empty", (F.size("a_comps") == 0).cast("int"))
 
 
