@@ -70,6 +70,16 @@ def keys(records: DataFrame, kind: str) -> Column:
     return F.filter(F.array(one), lambda x: x != "")
 
 
+def typed_keys(records: DataFrame, ident: str, kinds: tuple = tuple(CAPS)) -> DataFrame:
+    """country, ident, kind, key: a row for each key of a record."""
+
+    def typed(kind: str) -> Column:
+        return F.transform(keys(records, kind), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))
+
+    rows = records.select("country", F.col("eid").alias(ident), F.explode(F.flatten(F.array(*map(typed, kinds)))).alias("_k"))
+    return rows.select("country", ident, "_k.kind", "_k.key")
+
+
 def capped_join(a: DataFrame, b: DataFrame, on: list[str], most_a: Column, most_b: Column) -> DataFrame:
     """Equi-join without the keys that more rows than allowed have on either side: counts are aggregated before
     the join, so a frequent key never meets."""
@@ -80,15 +90,8 @@ def capped_join(a: DataFrame, b: DataFrame, on: list[str], most_a: Column, most_
 def exact_key_pairs(s1: DataFrame, pool: DataFrame, kinds: tuple = tuple(CAPS), caps: dict = CAPS) -> DataFrame:
     """country, s1_id, pool_id that share a key, all key types in one join."""
 
-    def exploded(df: DataFrame, ident: str) -> DataFrame:
-        def typed(kind: str) -> Column:
-            return F.transform(keys(df, kind), lambda x: F.struct(F.lit(kind).alias("kind"), x.alias("key")))
-
-        all_keys = F.flatten(F.array(*map(typed, kinds)))
-        return df.select("country", F.col("eid").alias(ident), F.explode(all_keys).alias("_k")).select("country", ident, "_k.kind", "_k.key")
-
     limit = lambda i: reduce(lambda c, k: c.when(F.col("kind") == k, caps[k][i]), kinds, F.when(F.lit(False), 0))
-    return capped_join(exploded(s1, "s1_id"), exploded(pool, "pool_id"), ["country", "kind", "key"], limit(0), limit(1)).select("country", "s1_id", "pool_id").distinct()
+    return capped_join(typed_keys(s1, "s1_id", kinds), typed_keys(pool, "pool_id", kinds), ["country", "kind", "key"], limit(0), limit(1)).select("country", "s1_id", "pool_id").distinct()
 
 
 def union_channels(parts: list[DataFrame]) -> DataFrame:

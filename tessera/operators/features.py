@@ -42,7 +42,7 @@ def competition(cands: DataFrame, scores: tuple = ("s_combo", "s_name", "s_addr"
     out = cands
     for key, tie, suffix in (("s1_id", "pool_id", "1"), ("pool_id", "s1_id", "2")):
         for score in scores:
-            out = rank_gap(out, key, score, tie, suffix)
+            out = rank_gap(out, ["country", key], score, tie, suffix)
     return out.withColumnsRenamed({"group_size1": "cand_per_s1", "group_size2": "claimants_per_pool"})
 
 
@@ -183,18 +183,24 @@ def anchors(scored: DataFrame, anchor: float = 0.9, most: int = 3) -> DataFrame:
     return top(scored.filter(F.col("p1") >= anchor), ["country", "s1_id", "src"], [F.desc("p1"), F.asc("pool_id")], most).select("country", "s1_id", "src", F.col("pool_id").alias("anchor_id"))
 
 
+def anchor_pairs(scored: DataFrame, anchor: float = 0.9, most: int = 3, cap: float = 0.95) -> DataFrame:
+    """PAIR + anchor_id: pairs under cap with the anchors of their S1 record and source, themselves aside."""
+    asked = scored.filter(F.col("p1") < cap).select(*PAIR, "src")
+    return asked.join(anchors(scored, anchor, most), ["country", "s1_id", "src"]).filter(F.col("anchor_id") != F.col("pool_id"))
+
+
 def stage2_features(scored: DataFrame, pool: DataFrame, anchor: float = 0.9, most: int = 3, cap: float = 0.95) -> DataFrame:
     """PAIR + the 26 features over first-stage scores p1. scored: PAIR, src, p1."""
+    one, two = ["country", "s1_id"], ["country", "pool_id"]
     out = scored.select(*PAIR, "src", "p1").withColumn("p1_logit", logit(F.col("p1")))
-    out = rank_gap(rank_gap(out, "s1_id", "p1", "pool_id", "1"), "pool_id", "p1", "s1_id", "2").drop("group_size1", "group_size2")
-    total, half = sum_and_count("s1_id", "p1", 0.5)
-    out = out.withColumns({"p1_second1": second_best("s1_id", "p1", "pool_id"), "p1_second2": second_best("pool_id", "p1", "s1_id"), "p1_sum1": total, "p1_n05_1": half, "p1_n09_1": sum_and_count("s1_id", "p1", 0.9)[1], "p1_rel2": relative("pool_id", "p1"), "p1_others2": others("pool_id", "p1")})
+    out = rank_gap(rank_gap(out, one, "p1", "pool_id", "1"), two, "p1", "s1_id", "2").drop("group_size1", "group_size2")
+    total, half = sum_and_count(one, "p1", 0.5)
+    out = out.withColumns({"p1_second1": second_best(one, "p1", "pool_id"), "p1_second2": second_best(two, "p1", "s1_id"), "p1_sum1": total, "p1_n05_1": half, "p1_n09_1": sum_and_count(one, "p1", 0.9)[1], "p1_rel2": relative(two, "p1"), "p1_others2": others(two, "p1")})
     for s in (2, 3):
         sure = F.when((F.col("src") == s) & (F.col("p1") >= anchor), 1).otherwise(0)
-        out = out.withColumn(f"anch_s{s}", F.sum(sure).over(Window.partitionBy("s1_id")) - sure)
+        out = out.withColumn(f"anch_s{s}", F.sum(sure).over(Window.partitionBy(*one)) - sure)
     views = pool.select("country", F.col("eid"), F.struct(F.lower(F.coalesce("raw_name", F.lit(""))).alias("raw"), has_indic(F.col("raw_name")).alias("script"), "n_name", "a_hn", "a_street", "a_loc2", "n_legal").alias("v"))
-    asked = scored.filter(F.col("p1") < cap).select(*PAIR, "src").join(anchors(scored, anchor, most), ["country", "s1_id", "src"]).filter(F.col("anchor_id") != F.col("pool_id"))
-    both = asked.join(views.select("country", F.col("eid").alias("pool_id"), F.col("v").alias("a")), ["country", "pool_id"]).join(views.select("country", F.col("eid").alias("anchor_id"), F.col("v").alias("b")), ["country", "anchor_id"])
+    both = anchor_pairs(scored, anchor, most, cap).join(views.select("country", F.col("eid").alias("pool_id"), F.col("v").alias("a")), ["country", "pool_id"]).join(views.select("country", F.col("eid").alias("anchor_id"), F.col("v").alias("b")), ["country", "anchor_id"])
     a, b = (lambda c: F.col(f"a.{c}")), (lambda c: F.col(f"b.{c}"))
     both = both.select(*PAIR, (similarity("ratio", a("raw"), b("raw")) / 100).alias("sib_raw"), (similarity("token_set_ratio", a("n_name"), b("n_name")) / 100).alias("sib_name"), flag((a("a_hn") != "") & (a("a_hn") == b("a_hn"))).alias("sib_hn"), (similarity("ratio", a("a_street"), b("a_street")) / 100).alias("sib_street"), (similarity("token_set_ratio", a("a_loc2"), b("a_loc2")) / 100).alias("sib_loc"), flag(a("n_legal") == b("n_legal")).alias("sib_legal"), flag(a("script") == b("script")).alias("sib_script"))
     names = ["sib_raw", "sib_name", "sib_hn", "sib_street", "sib_loc", "sib_legal", "sib_script"]

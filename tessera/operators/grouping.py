@@ -6,37 +6,42 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 Name = str
+Names = str | list[str]
 
 
-def rank_gap(df: DataFrame, key: Name, score: Name, tie: Name, suffix: str) -> DataFrame:
+def _by(key: Names):
+    return Window.partitionBy(*([key] if isinstance(key, str) else key))
+
+
+def rank_gap(df: DataFrame, key: Names, score: Name, tie: Name, suffix: str) -> DataFrame:
     """Adds SCORE_rank (0 is best), SCORE_gap to the best, SCORE_best and group_size, each with the suffix."""
-    w = Window.partitionBy(key)
+    w = _by(key)
     ranked = w.orderBy(F.desc(score), F.asc(tie))
     best = F.max(score).over(w)
     return df.withColumns({f"{score}_rank{suffix}": F.row_number().over(ranked) - 1, f"{score}_gap{suffix}": best - F.col(score), f"{score}_best{suffix}": best, f"group_size{suffix}": F.count(F.lit(1)).over(w)})
 
 
-def second_best(key: Name, score: Name, tie: Name) -> Column:
-    w = Window.partitionBy(key).orderBy(F.desc(score), F.asc(tie)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+def second_best(key: Names, score: Name, tie: Name) -> Column:
+    w = _by(key).orderBy(F.desc(score), F.asc(tie)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return F.coalesce(F.nth_value(score, 2).over(w), F.lit(0.0))
 
 
-def sum_and_count(key: Name, score: Name, least: float) -> tuple[Column, Column]:
-    w = Window.partitionBy(key)
+def sum_and_count(key: Names, score: Name, least: float) -> tuple[Column, Column]:
+    w = _by(key)
     return F.sum(score).over(w), F.count(F.when(F.col(score) >= least, 1)).over(w)
 
 
-def others(key: Name, score: Name) -> Column:
-    return F.sum(score).over(Window.partitionBy(key)) - F.col(score)
+def others(key: Names, score: Name) -> Column:
+    return F.sum(score).over(_by(key)) - F.col(score)
 
 
-def relative(key: Name, score: Name) -> Column:
-    best = F.max(score).over(Window.partitionBy(key))
+def relative(key: Names, score: Name) -> Column:
+    best = F.max(score).over(_by(key))
     return F.when(best > 0, F.col(score) / F.greatest(best, F.lit(1e-6))).otherwise(0.0)
 
 
-def running_sum(key: Name, value: Name, order: list[Column]) -> Column:
-    return F.sum(value).over(Window.partitionBy(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
+def running_sum(key: Names, value: Name, order: list[Column]) -> Column:
+    return F.sum(value).over(_by(key).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0))
 
 
 def top(df: DataFrame, key: list[Name], order: list[Column], k: int) -> DataFrame:

@@ -471,13 +471,6 @@ def stage_features(spark, sf_dir):
     return first.join(X.stage2_features(p1, two), X.PAIR)
 
 
-@query()
-def calibrated_scores(spark, sf_dir):
-    rows = scored(spark, sf_dir)
-    grid = L.calibration(rows, "p", "y")
-    return rows.select("s1_id", "pool_id", L.calibrated(F.col("p"), grid).alias("pc"))
-
-
 @query()
 def linked(spark, sf_dir):
     """Training and prediction end to end."""
@@ -491,3 +484,6 @@ def linked(spark, sf_dir):
 def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Candidates by exact top-K cosine within country and partition."""
     return top_cosine_partitioned(spark, sf_dir)
+
+
+from tessera.plans import linking, parsing  # noqa: E402, F401  they register their queries
