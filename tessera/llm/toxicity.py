@@ -33,16 +33,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tessera.llm.words import letter_words
-from tessera.shared import join_slim, materialize
+from tessera.shared import join_slim, map_arrow, materialize, release_memory
 
 #: Lengths of the beginnings of longer words that are features of their own.
 STEMS = range(3, 9)
-#: Words whose features a worker remembers at once.
-KNOWN = 1 << 20
 
 
 def word_features(word: str) -> list[str]:
@@ -50,14 +49,12 @@ def word_features(word: str) -> list[str]:
     return [word, *(word[:k] + "*" for k in STEMS if len(word) > k)]
 
 
-def _words(text: Column) -> Column:
-    """Sorted distinct words, found by the function that scoring uses."""
-
-    @F.pandas_udf("array<string>")
-    def found(texts: pd.Series) -> pd.Series:
-        return pd.Series([sorted(set(letter_words(t))) for t in texts])
-
-    return found(text)
+def _words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted distinct words, found by the function that scoring uses, of some texts at a time."""
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            found = [sorted(set(letter_words(t))) for t in batch.column(0).slice(at, 256).to_pylist()]
+            yield pa.record_batch([pa.array(found, pa.list_(pa.string()))], names=["words"])
 
 
 def _features() -> Column:
@@ -84,7 +81,7 @@ def _sample(docs: DataFrame, most: int, seed: int) -> DataFrame:
         share = min(1.0, 1.1 * most / total + 50 / total)
         docs = docs.filter(F.col("h") < F.lit(int(-(1 << 63) + share * ((1 << 64) - 1))))
     last = docs.select("h").orderBy("h").limit(most).agg(F.max("h")).first()[0]
-    rows = docs.filter(F.col("h") <= F.lit((1 << 63) - 1 if last is None else last)).select(_words(F.col("text")).alias("words"))
+    rows = docs.filter(F.col("h") <= F.lit((1 << 63) - 1 if last is None else last)).select("text").transform(map_arrow, _words, "words array<string>")
     return materialize(rows.groupBy(F.xxhash64("words").alias("h")).agg(F.first("words").alias("words")).select("words", _family().alias("family")), "sample")
 
 
@@ -135,23 +132,18 @@ def fit(pos: list[list[str]], unl: list[list[str]], names: list[str], prior: flo
 def score_column(model: tuple[dict[str, float], float], text: Column) -> Column:
     weights, bias = model
 
+    # Most words begin like no feature, and are told by three letters.
+    starts = {x.rstrip("*")[: STEMS[0]] for x in weights}
+
+    def value(text: str | None) -> float:
+        hits = {x for word in set(letter_words(text)) if word[: STEMS[0]] in starts for x in word_features(word) if x in weights}
+        return bias + sum(sorted(weights[x] for x in hits))
+
     @F.pandas_udf("double")
     def score(texts: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        known: dict[str, tuple] = {}  # the weighted features of a word: mostly none
-
-        def value(text: str | None) -> float:
-            hits = set()
-            for word in set(letter_words(text)):
-                found = known.get(word)
-                if found is None:
-                    if len(known) >= KNOWN:
-                        known.clear()
-                    found = known[word] = tuple(x for x in word_features(word) if x in weights)
-                hits.update(found)
-            return bias + sum(sorted(weights[x] for x in hits))
-
         for batch in texts:
             yield pd.Series(1 / (1 + np.exp(-np.clip([value(t) for t in batch], -30, 30))), dtype="float64")
+            release_memory()
 
     return score(text)
 
