@@ -4,8 +4,10 @@
 stream around all records of a file), as many crawlers leave them. Records with
 equal payloads of at least ``least`` bytes are written once as response; the others
 become revisit records that refer to it. ``normalise`` inflates each such stream
-once, holding one record and one block at a time, and writes every record as a gzip
-member of its own, together with a sidecar index of (offset, length) per record.
+once through Spark's line reader, whatever the size of the file, holding one record and one batch of lines
+at a time, and writes every record as a gzip member of its own, together with a sidecar index of
+(offset, length) per record. Past ``most_bytes`` of members an archive goes on in the next, NAME-00001.warc.gz,
+so that each can be read as one value.
 ``read_archives`` and ``read_index`` read the results.
 
 Files go through Spark's text writer, so they land in any store Spark can write and
@@ -18,7 +20,8 @@ plain WARC and gzip, byte for byte. An archive is a folder
 ``offset length record-id type`` line per record) in ``kind=index``.
 
 A gzip stream can't be split: one task reads one file, so the writer starts a new
-archive every ``archive_bytes`` of records. A truncated or malformed archive raises.
+archive every ``archive_bytes`` of records. A truncated or malformed archive raises. A very long payload is held
+whole, once. Of equal payloads ties go to the smallest page_id.
 
 Nulls: null html is an empty payload, null url is ``urn:page:ID``, a null page_id is
 left out of the record. Repeated rows: rows equal in page_id and payload to a response are
@@ -34,6 +37,7 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -111,43 +115,34 @@ def write_archives(pages: DataFrame, path: str, least: int = 100, archive_bytes:
     rows.withColumn("data", F.col("data").cast("string")).write.partitionBy("archive").option("compression", "gzip").option("lineSep", END.decode()).text(path)
 
 
-def inflate_records(data, chunk: int = 1 << 20) -> Iterator[bytes]:
-    """The records of a gzip file of one or more members, without the CR LF CR LF
-    behind each. Inflates the file once; holds the current record and one chunk."""
-    held, at, inflater, data = bytearray(), 0, zlib.decompressobj(31), memoryview(data)
-    need = None
-    while True:
-        if not inflater.eof:
-            piece = inflater.unconsumed_tail or data[at : at + chunk]
-            if not inflater.unconsumed_tail:
-                at += len(piece)
-            got = inflater.decompress(piece, chunk)
-            held += got
-            if not got and not piece and not inflater.eof:
-                raise ValueError("truncated gzip stream")
-        elif inflater.unused_data or at < len(data):
-            at -= len(inflater.unused_data)
-            inflater = zlib.decompressobj(31)
-            continue
+class Cutter:
+    """Cuts a stream of inflated bytes into records, without the CR LF CR LF behind each; holds one record and what was fed last."""
+
+    def __init__(self):
+        self.held, self.need = bytearray(), None
+
+    def feed(self, data) -> Iterator[bytes]:
+        held = self.held
+        held += data
         while True:
-            if need is None:
+            if self.need is None:
                 end = held.find(END)
                 if end < 0:
-                    break
-                need = end + 4 + int(header(bytes(held[:end]), b"content-length") or -1)
-                if need < end + 4:
+                    return
+                self.need = end + 4 + int(header(bytes(held[:end]), b"content-length") or -1)
+                if self.need < end + 4:
                     raise ValueError("record without a content length")
-            if len(held) < need + 4:
-                break
-            if held[need : need + 4] != END:
+            if len(held) < self.need + 4:
+                return
+            if held[self.need : self.need + 4] != END:
                 raise ValueError("record doesn't end where its length says")
-            yield bytes(held[:need])
-            del held[: need + 4]
-            need = None
-        if inflater.eof and not inflater.unused_data and at >= len(data):
-            if held.strip():
-                raise ValueError("truncated record")
-            return
+            yield bytes(held[: self.need])
+            del held[: self.need + 4]
+            self.need = None
+
+    def end(self) -> None:
+        if self.held.strip():
+            raise ValueError("truncated record")
 
 
 def header(head: bytes, name: bytes) -> bytes | None:
@@ -164,33 +159,58 @@ def member(data: bytes, level: int = 6) -> bytes:
     return out if out[-1] == 0 else out + gzip.compress(b"", mtime=0)
 
 
-def _normalised(level: int):
+def _runs(batch: pa.RecordBatch) -> Iterator[tuple[str, memoryview]]:
+    """(file, bytes) for each stretch of a batch's lines that is of one file; a line feed ends every line."""
+    names, lines, at = pc.run_end_encode(batch.column(0)), batch.column(1), 0
+    for name, end in zip(names.values.to_pylist(), names.run_ends.to_pylist(), strict=True):
+        some = pa.ListArray.from_arrays(pa.array([0, end - at], pa.int32()), lines.slice(at, end - at))
+        yield name, memoryview(pc.binary_join(some, b"\n")[0].as_buffer())
+        yield name, memoryview(b"\n")
+        at = end
+
+
+def _normalised(level: int, most_bytes: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
+            path, cutter, part, at, lines = None, None, 0, 0, []
+
+            def name() -> str:
+                base = path.rstrip("/").split("/archive=")[-1].split("/")[0] if "/archive=" in path else path.split("/")[-1]
+                return base if not part else f"{base.removesuffix('.gz').removesuffix('.warc')}-{part:05d}.warc.gz"
+
+            def index() -> tuple:
+                return name(), "index", member(b"".join(lines))[:-1]
+
             for batch in batches:
-                for path, content in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                    name = path.rstrip("/").split("/archive=")[-1].split("/")[0] if "/archive=" in path else path.split("/")[-1]
-                    at, lines = 0, []
-                    for record in inflate_records(content.as_buffer()):
+                for file, data in _runs(batch):
+                    if file != path:
+                        if cutter is not None:
+                            cutter.end()
+                            yield index()
+                        path, cutter, part, at, lines = file, Cutter(), 0, 0, []
+                    for record in cutter.feed(data):
+                        if at >= most_bytes:
+                            yield index()
+                            part, at, lines = part + 1, 0, []
                         head = record[: record.find(END)]
                         out = member(record + END, level)
                         lines.append(b"%d %d %s %s\n" % (at, len(out), header(head, b"warc-record-id") or b"-", header(head, b"warc-type") or b"-"))
                         at += len(out)
-                        yield name, "warc", out[:-1]
-                    yield name, "index", member(b"".join(lines))[:-1]
+                        yield name(), "warc", out[:-1]
+            if cutter is not None:
+                cutter.end()
+                yield index()
 
         yield from _grouped(rows())
 
     return run
 
 
-def _files(spark: SparkSession, path: str, pattern: str) -> DataFrame:
-    return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).load(path).select("path", "content")
-
-
-def normalise(spark: SparkSession, path: str, out: str, pattern: str = "*.gz", level: int = 6) -> None:
+def normalise(spark: SparkSession, path: str, out: str, pattern: str = "*.gz", level: int = 6, most_bytes: int = 256 << 20) -> None:
     """Rewrites the whole-file gzip WARC files under path as one member per record, with sidecar indexes."""
-    rows = _files(spark, path, pattern).transform(map_arrow, _normalised(level), _OUT)
+    # The reader inflates by the file's name and hands bytes on as they are; a file is one task's, from its first line to its last.
+    lines = spark.read.option("recursiveFileLookup", "true").option("pathGlobFilter", pattern).option("lineSep", "\n").text(path)
+    rows = lines.select(F.col("_metadata.file_path").alias("path"), F.col("value").cast("binary").alias("line")).transform(map_arrow, _normalised(level, most_bytes), _OUT)
     rows.withColumn("data", F.col("data").cast("string")).write.partitionBy("archive", "kind").option("lineSep", "\0").text(out)
 
 

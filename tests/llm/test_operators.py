@@ -49,7 +49,7 @@ def test_fingerprints_of_awkward_rows(awkward, no_docs):
 def test_warc_round_trip(spark):
     html = "<p>" + "long page " * 30
     rows = [(1, "http://a", html), (2, "http://b", html), (0, None, html), (3, "u", "short"), (4, "u", "short"), (5, None, None), (None, "x\ny", "z" * 200), (2, "http://b", html), (6, "big", "q" * (17 << 20))]
-    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as owner", "2 as digest")
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").selectExpr("*", "1 as owner", "2 as digest", "'x' as kind", "'y' as archive", "'z' as data")
     got = warc.round_trip(pages).collect()
     assert len(got) == len(rows)
     for r in got:
@@ -73,14 +73,43 @@ def test_members_and_index_agree(spark):
     assert sum(gzip.decompress(f).count(b"WARC/1.1\r\n") for f in files.values()) == 40
 
 
-def test_inflate_in_steps_and_errors():
+def test_records_are_cut_in_steps_and_errors():
     records = [b"WARC/1.1\r\nContent-Length: %d\r\n\r\n" % n + b"x" * n for n in (0, 5, 3000)]
-    whole = gzip.compress(b"".join(r + warc.END for r in records))
-    many = b"".join(gzip.compress(r + warc.END) for r in records)
-    for data, chunk in itertools.product((whole, many), (7, 64, 1 << 20)):
-        assert list(warc.inflate_records(data, chunk)) == records
+    whole = b"".join(r + warc.END for r in records)
+    for step in (1, 7, 64, 1 << 20):
+        cutter = warc.Cutter()
+        assert [r for i in range(0, len(whole), step) for r in cutter.feed(whole[i : i + step])] == records
+        cutter.end()
+    cutter = warc.Cutter()
+    assert list(cutter.feed(whole[:-12])) == records[:2]
+    for bad in (b"WARC/1.1\r\nX: 1\r\n\r\nabc", b"WARC/1.1\r\nContent-Length: 1\r\n\r\nabcdef"):
+        with pytest.raises(ValueError):
+            list(warc.Cutter().feed(bad))
     with pytest.raises(ValueError):
-        list(warc.inflate_records(whole[:-12]))
+        cutter.end()
+
+
+def test_foreign_archives(spark, tmp_path):
+    """Files of other crawlers: one stream or several, any bytes, more members than one archive may hold; a truncated stream raises."""
+    rng = np.random.default_rng(1)
+    bodies = [b"", b"\xff\x00\n\r\nabc", bytes(rng.integers(0, 256, 200_000, np.uint8)), b"\n" * 5000, "日本".encode() * 700]
+    records = [b"WARC/1.0\r\nWARC-Type: resource\r\nWARC-Record-ID: <r%d>\r\nContent-Length: %d\r\n\r\n" % (i, len(b)) + b for i, b in enumerate(bodies)]
+    folder = tmp_path / "in"
+    folder.mkdir()
+    (folder / "a.warc.gz").write_bytes(gzip.compress(b"".join(r + warc.END for r in records)))
+    (folder / "b.warc.gz").write_bytes(b"".join(gzip.compress(r + warc.END) for r in records))
+    out = str(tmp_path / "out")
+    warc.normalise(spark, str(folder), out, most_bytes=100_000)
+    files = {r.path.split("/archive=")[1].split("/")[0]: bytes(r.content) for r in spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(out).filter("path like '%kind=warc%'").collect()}
+    for name in "ab":
+        assert b"".join(gzip.decompress(files[f]) for f in sorted(files, key=lambda f: ("-" in f, f)) if f[0] == name) == b"".join(r + warc.END for r in records)
+    assert sorted(files) == ["a-00001.warc.gz", "a.warc.gz", "b-00001.warc.gz", "b.warc.gz"]
+    for r in warc.read_index(spark, out).collect():
+        assert zlib.decompressobj(31).decompress(files[r.archive][r.offset : r.offset + r.length]).split(b"WARC-Record-ID: ")[1].startswith(r.record_id.encode())
+    assert warc.read_archives(spark, out).count() == 10
+    (folder / "c.warc.gz").write_bytes((folder / "a.warc.gz").read_bytes()[:-5000])
+    with pytest.raises(Exception):  # noqa: B017
+        warc.normalise(spark, str(folder), str(tmp_path / "bad"))
 
 
 def test_language_spans_and_held_out(spark):
