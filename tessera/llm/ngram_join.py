@@ -12,7 +12,7 @@ least ``threshold`` percent. Result: one row per document with its component.
    sets share a prefix shingle; documents joined by shared prefix shingles, in one
    star a shingle, form families. Similar sets are always in one family.
 3. Verification. Families meet in one task each. Candidates of a document must share prefix
-   shingles under each of ``ORDERS`` orders (rarest first, then by different permutations);
+   shingles under each of ``ORDERS`` orders (rarest first, then random permutations that know nothing of frequencies);
    the filters are intersected, and what is left is verified by exact intersection
    unless both documents are connected already. Only links that connect are
    written, so a group of n copies gives n - 1 links.
@@ -25,7 +25,7 @@ Copies of a set are one node throughout. Nothing is capped: blocks, pivots and
 prefixes lose no pair.
 
 Nulls: null and blank texts have empty sets and link with nothing. Null ids are an
-id of their own below all others. Repeated rows are rows of one component. Other
+id of their own below all others. Repeated rows are rows of one component; a very long text is one set. Links have no ties; a component is named by its least id. Other
 columns are ignored. An empty table gives no rows.
 """
 
@@ -50,8 +50,8 @@ ORDERS = 3
 PIVOTS = 8
 NO_ID = -(1 << 63)
 MULTI = 65535
-_MIXED = "kind int, bucket int, chunk long, idx int, id long, n long, cls binary, shared long, blob binary"
-_KINDS = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary())
+_MIXED = "kind int, bucket int, chunk long, idx int, id long, n long, cls binary, shared long, blob binary, th long"
+_KINDS = (pa.int32(), pa.int32(), pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.binary(), pa.int64())
 
 
 def _needed(n, percent: int):
@@ -116,9 +116,9 @@ def _chunks(bits: int, chunk_tokens: int):
             tokens = tokens[first]
             cuts = np.append(np.searchsorted(tokens, edges), len(tokens))
             for b in np.flatnonzero(np.diff(cuts)).tolist():
-                yield 1, b, chunk, None, None, None, None, None, _coded(tokens[cuts[b] : cuts[b + 1]], owner[cuts[b] : cuts[b + 1]])
-        for i, (doc, n, cls) in enumerate(docs):
-            yield 0, (chunk + i) % (1 << bits), chunk, i, doc, n, cls, int(shared[i]), None
+                yield 1, b, chunk, None, None, None, None, None, _coded(tokens[cuts[b] : cuts[b + 1]], owner[cuts[b] : cuts[b + 1]]), None
+        for i, (doc, th, n, cls) in enumerate(docs):
+            yield 0, (chunk + i) % (1 << bits), chunk, i, doc, n, cls, int(shared[i]), None, th
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
@@ -126,9 +126,9 @@ def _chunks(bits: int, chunk_tokens: int):
             for batch in batches:
                 for at in range(0, batch.num_rows, 256):
                     cut = batch.slice(at, 256)
-                    for doc, tokens in zip(cut.column(0).to_pylist(), shingle_sets(cut.column(1).to_pylist()), strict=True):
+                    for doc, th, tokens in zip(cut.column(0).to_pylist(), cut.column(1).to_pylist(), shingle_sets(cut.column(2).to_pylist()), strict=True):
                         cls = _digest(tokens)
-                        docs.append((doc, len(tokens), cls))
+                        docs.append((doc, th, len(tokens), cls))
                         if cls is not None and cls not in seen:
                             seen[cls] = None
                             sets.append(tokens)
@@ -177,7 +177,7 @@ def _common(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for i, chunk in enumerate(chunks):
                 k, c = keys[cuts[i] : cuts[i + 1]] % 65536, counts[cuts[i] : cuts[i + 1]]
                 if len(k):
-                    yield 1, bucket, chunk, None, None, None, None, None, k.astype("<u4").tobytes() + c.astype("<u4").tobytes()
+                    yield 1, bucket, chunk, None, None, None, None, None, k.astype("<u4").tobytes() + c.astype("<u4").tobytes(), None
 
     yield from _by_size(rows())
 
@@ -196,7 +196,7 @@ def _active(percent: int):
                 for row in docs:
                     n = row[5]
                     # kind is 1 for a document that may have a partner.
-                    yield int(n > 0 and row[7] + shared[row[3]] >= _needed(n, percent)), None, None, None, row[4], n, row[6], None, None
+                    yield int(n > 0 and row[7] + shared[row[3]] >= _needed(n, percent)), None, None, None, row[4], n, row[6], None, None, row[9]
 
         yield from _by_size(rows())
 
@@ -228,9 +228,10 @@ class _Index:
         return np.concatenate(parts) if parts else self.docs[:0]
 
 
-def link_group(sets: list[np.ndarray], side: np.ndarray, percent: int, orders: int = ORDERS, labels: np.ndarray | None = None) -> list[tuple[int, int]]:
+def link_group(sets: list[np.ndarray], side: np.ndarray, percent: int, orders: int = ORDERS, labels: np.ndarray | None = None, counts: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Links that connect the similar sets of a group: a spanning forest. Where side
-    has two values only sets of different sides are compared. Sets with equal labels are connected already."""
+    has two values only sets of different sides are compared. Sets with equal labels are connected already.
+    counts, if given, is increased by the candidates left after each order."""
     m, n = len(sets), np.array([len(s) for s in sets])
     vocabulary, flat = np.unique(np.concatenate(sets), return_inverse=True)
     owner = np.repeat(np.arange(m), n)
@@ -245,7 +246,7 @@ def link_group(sets: list[np.ndarray], side: np.ndarray, percent: int, orders: i
     for k in range(orders):
         tie = mix(vocabulary + np.uint64(k * 0x9E3779B97F4A7C15 % (1 << 64)))
         rank = np.empty(width, np.int64)
-        rank[np.lexsort((tie, freq))] = np.arange(width)
+        rank[np.lexsort((tie, freq)) if k == 0 else np.argsort(tie, kind="stable")] = np.arange(width)
         prefix = [o[np.argpartition(rank[o], t - 1)[:t]] if 0 < t < len(o) else o[: t or 0] for o, t in zip(own, take.tolist(), strict=True)]
         docs = np.repeat(np.arange(m), [len(p) for p in prefix])
         filters.append((prefix, _Index(docs, np.concatenate(prefix), width)))
@@ -254,15 +255,18 @@ def link_group(sets: list[np.ndarray], side: np.ndarray, percent: int, orders: i
     for x in range(m):
         if not len(filters[0][0][x]):
             continue
-        found = None
-        for prefix, index in filters:
-            hit = np.zeros(m, bool)
-            hit[index.of(prefix[x])] = True
-            found = hit if found is None else found & hit
+        found = (label != label[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
         found[: x + 1] = False
-        found &= (label != label[x]) & (100 * np.minimum(n, n[x]) >= percent * np.maximum(n, n[x]))
         if two:
             found &= side != side[x]
+        for k, (prefix, index) in enumerate(filters):
+            hit = np.zeros(m, bool)
+            hit[index.of(prefix[x])] = True
+            found &= hit
+            if counts is not None:
+                counts[k] += found.sum()
+            if not found.any():
+                break
         left = np.flatnonzero(found)
         if len(left) > 24:
             inter = np.bincount(full.of(own[x]), minlength=m)[left]
@@ -300,19 +304,22 @@ def _linked(percent: int, across: bool):
     return run
 
 
-def jaccard_components(docs: DataFrame, percent: int = 80, chunk_tokens: int = 3_000_000, block_docs: int = 512, block_tokens: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def jaccard_components(docs: DataFrame, percent: int = 80, chunk_tokens: int = 1_500_000, block_docs: int = 512, block_tokens: int = 1_000_000, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id."""
     spark = docs.sparkSession
-    slim = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.col(text_col).cast("string").alias("text"))
+    text = F.col(text_col).cast("string")
+    slim = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NO_ID)).alias("id"), F.xxhash64(text).alias("th"), text.alias("text"))
     # Buckets of about a million shingles; a blob of a chunk and bucket keeps at least some fifty of them.
     bits = min(16, max(4, parts_for(docs, 4 << 20).bit_length()))
     n = max(int(spark.conf.get("spark.sql.shuffle.partitions")), parts_for(docs, 16 << 20))
     mixed = slim.transform(map_arrow, _chunks(bits, chunk_tokens), _MIXED).repartition(n, "bucket").sortWithinPartitions("bucket").transform(map_arrow, _common, _MIXED)
     base = mixed.repartition(n, "chunk").sortWithinPartitions("chunk").transform(map_arrow, _active(percent), _MIXED)
-    base = materialize(base.select("id", "n", "cls", (F.col("kind") == 1).alias("active")), "base")
+    base = materialize(base.select("id", "th", "n", "cls", (F.col("kind") == 1).alias("active")), "base")
 
-    reps = materialize(base.filter("active").groupBy("cls").agg(F.min("id").alias("id")).select("id", "cls"), "reps")
-    texts = join_slim(slim, reps, ["id"], "inner").select("text", "cls")
+    reps = materialize(base.filter("active").groupBy("cls").agg(F.min(F.struct("id", "th")).alias("r")).select("r.id", "r.th", "cls"), "reps")
+    texts = join_slim(slim, reps, ["id", "th"], "inner").select("id", "th", "text", "cls")
+    repeated = join_slim(base.select("id", "th"), reps, ["id", "th"], "inner").groupBy("id", "th").count().filter("count > 1")
+    texts = (texts if repeated.isEmpty() else texts.dropDuplicates(["id", "th"])).select("text", "cls")
     sets = materialize(texts.transform(map_arrow, _sets, "nid long, cls binary, n long, tokens array<long>"), "sets")
 
     postings = sets.select("nid", "n", F.explode("tokens").alias("token"))
