@@ -1,7 +1,7 @@
 """Pair, context and sibling features of candidate pairs.
 
 Candidates carry country, s1_id, pool_id; every feature frame keeps those keys, and
-frames meet by key. Record columns come in by one join per side; word weights and
+frames meet by key. Record columns come in by one join per side, words with their weights among them;
 rates by one join per word table, aggregated back to the pair.
 """
 
@@ -15,6 +15,7 @@ from tessera.functions.similarity import similarity
 from tessera.functions.text import has_indic, tokens
 from tessera.operators import blocking as B
 from tessera.operators.grouping import others, rank_gap, relative, second_best, smoothed_rates, sum_and_count, top
+from tessera.shared import join_hot, materialize
 
 PAIR = ["country", "s1_id", "pool_id"]
 RECORD = ["n_name", "n_name_alt", "n_core2", "n_sorted2", "n_compact", "n_skel", "n_legal", "n_dom", "n_first", "n_ntok", "a_alpha", "a_hn", "a_hn_runs", "a_nums", "a_street", "a_stype", "a_loc2", "a_unit", "a_has_hn_kw", "a_ncomp", "addr_empty", "raw_name", "region", "part", "src"]
@@ -29,12 +30,17 @@ def with_records(cands: DataFrame, s1: DataFrame, pool: DataFrame, columns: list
 
 def ambiguity(s1: DataFrame, pool: DataFrame) -> tuple[DataFrame, DataFrame]:
     """log1p of how many S1 (or pool) records have a record's core name: per S1 id and per pool id."""
+    log = lambda c: F.log1p(F.coalesce(c, F.lit(0)).cast("double"))
     one = s1.select("country", F.col("eid").alias("s1_id"), "n_core2", "part")
-    count = lambda *k: F.log1p(F.count("*").over(Window.partitionBy("country", *k)).cast("double"))
-    per_s1 = one.select("country", "s1_id", count("n_core2").alias("amb_s1_name"), count("n_core2", "part").alias("amb_s1_name_part"))
-    names = one.groupBy("country", "n_core2").agg(F.log1p(F.count("*").cast("double")).alias("amb_pool_name_in_s1"))
-    two = pool.select("country", F.col("eid").alias("pool_id"), "n_core2").withColumn("amb_pool_name", count("n_core2"))
-    return per_s1, two.join(names, ["country", "n_core2"], "left").select("country", "pool_id", "amb_pool_name", F.coalesce("amb_pool_name_in_s1", F.lit(0.0)).alias("amb_pool_name_in_s1"))
+    two = pool.select("country", F.col("eid").alias("pool_id"), "n_core2")
+    # Counted with map-side sums and joined back: an empty name of half a country is no group of one task.
+    parts = materialize(one.groupBy("country", "n_core2", "part").agg(F.count("*").alias("in_part")), "parts")
+    names = materialize(parts.groupBy("country", "n_core2").agg(F.sum("in_part").alias("in_s1")), "names")
+    in_pool = materialize(two.groupBy("country", "n_core2").agg(F.count("*").alias("in_pool")).join(names, ["country", "n_core2"], "left").withColumn("rows", F.col("in_pool")), "pool names")
+    per_part = materialize(parts.join(names, ["country", "n_core2"]).withColumn("rows", F.col("in_part")), "part names")
+    per_s1 = join_hot(one, per_part, ["country", "n_core2", "part"], "rows").select("country", "s1_id", log(F.col("in_s1")).alias("amb_s1_name"), log(F.col("in_part")).alias("amb_s1_name_part"))
+    per_pool = join_hot(two, in_pool, ["country", "n_core2"], "rows").select("country", "pool_id", log(F.col("in_pool")).alias("amb_pool_name"), log(F.col("in_s1")).alias("amb_pool_name_in_s1"))
+    return per_s1, per_pool
 
 
 def competition(cands: DataFrame, scores: tuple = ("s_combo", "s_name", "s_addr")) -> DataFrame:
@@ -81,24 +87,40 @@ def prune_features(cands: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFram
     return rows.withColumns(made).select(*PAIR, "ch", *kept, *PRUNE)
 
 
-def word_idf(s1: DataFrame, pool: DataFrame, column: str) -> DataFrame:
-    """country, word, idf = ln((1 + N) / (1 + df)), N records of both sides."""
-    one = lambda df: df.select("country", "eid", F.explode(F.array_distinct(F.col(column) if column == "a_nums" else tokens(F.col(column)))).alias("word"))
-    total = s1.select("country").unionByName(pool.select("country")).groupBy("country").agg(F.count("*").alias("n"))
-    df = one(s1).unionByName(one(pool)).groupBy("country", "word").agg(F.count("*").alias("df"))
-    return df.join(F.broadcast(total), "country").select("country", "word", F.log((1 + F.col("n")) / (1 + F.col("df"))).alias("idf"))
-
-
-def weighted_sets(pairs: DataFrame, s1: DataFrame, pool: DataFrame, column: str, prefix: str) -> DataFrame:
-    """PAIR + prefix_wjacc, prefix_wextra, prefix_wmissing: idf-weighted set statistics of a word column."""
-    side = lambda df, ident, on: df.select("country", F.col("eid").alias(ident), F.explode(F.array_distinct(F.col(column) if column == "a_nums" else tokens(F.col(column)))).alias("word"), F.lit(1).alias(on))
-    keys = pairs.select(*PAIR)
-    a, b = keys.join(side(s1, "s1_id", "a"), ["country", "s1_id"]), keys.join(side(pool, "pool_id", "b"), ["country", "pool_id"])
-    both = a.unionByName(b, allowMissingColumns=True).groupBy(*PAIR, "word").agg(F.max("a").alias("a"), F.max("b").alias("b")).join(word_idf(s1, pool, column), ["country", "word"])
-    total = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("idf"))), F.lit(0.0))
-    has_a, has_b = F.col("a").isNotNull(), F.col("b").isNotNull()
-    sums = both.groupBy(*PAIR).agg(total(has_a & has_b).alias("_i"), F.sum("idf").alias("_u"), total(has_b & ~has_a).alias(f"{prefix}_wextra"), total(has_a & ~has_b).alias(f"{prefix}_wmissing"))
-    return sums.select(*PAIR, F.when(F.col("_u") > 0, F.col("_i") / F.col("_u")).otherwise(0.0).alias(f"{prefix}_wjacc"), f"{prefix}_wextra", f"{prefix}_wmissing")
+def record_weights(s1: DataFrame, pool: DataFrame, columns: list[str]) -> tuple[DataFrame, DataFrame]:
+    """country, s1_id (or pool_id), and per word column an array w_COLUMN of struct word, idf of the record's distinct words;
+    idf = ln((1 + N) / (1 + df)) over the N records of both sides of a country. Weights meet words once a record, not once a pair."""
+    both = s1.select("country", F.lit(1).alias("side"), "eid", *columns).unionByName(pool.select("country", F.lit(2).alias("side"), "eid", *columns))
+    words = lambda c: F.array_distinct(F.col(c) if c == "a_nums" else tokens(F.col(c)))
+    typed = [F.transform(words(c), lambda w: F.struct(F.lit(i).alias("c"), w.alias("word"))) for i, c in enumerate(columns)]
+    rows = materialize(both.select("country", "side", "eid", F.explode(F.flatten(F.array(*typed))).alias("x")).select("country", "side", "eid", "x.c", "x.word"), "words")
+    total = both.groupBy("country").agg(F.count("*").alias("n"))
+    df = rows.groupBy("country", "c", "word").agg(F.count("*").alias("df"))
+    weighed = materialize(df.join(F.broadcast(total), "country").select("country", "c", "word", "df", F.log((1 + F.col("n")) / (1 + F.col("df"))).alias("idf")), "idf")
+    arrays = [F.array_sort(F.collect_list(F.when(F.col("c") == i, F.struct("word", "idf")))).alias(f"w_{c}") for i, c in enumerate(columns)]
+    sums = materialize(join_hot(rows, weighed, ["country", "c", "word"], "df").groupBy("country", "side", "eid").agg(*arrays), "weights")
+    of = lambda side, ident: sums.filter(F.col("side") == side).select("country", F.col("eid").alias(ident), *[f"w_{c}" for c in columns])
+    return of(1, "s1_id"), of(2, "pool_id")
+
+
+def weighted_stats(a: Column, b: Column, prefix: str) -> dict[str, Column]:
+    """prefix_wjacc, prefix_wextra, prefix_wmissing of two arrays of struct word, idf; null is empty."""
+    mass = lambda xs: F.coalesce(F.aggregate(xs, F.lit(0.0), lambda acc, x: acc + x["idf"]), F.lit(0.0))
+    names = F.transform(b, lambda x: x["word"])
+    inter = mass(F.filter(a, lambda x: F.coalesce(F.array_contains(names, x["word"]), F.lit(False))))
+    union = mass(a) + mass(b) - inter
+    return {f"{prefix}_wjacc": F.when(union > 0, inter / union).otherwise(0.0), f"{prefix}_wextra": mass(b) - inter, f"{prefix}_wmissing": mass(a) - inter}
+
+
+def weighted_sets(pairs: DataFrame, s1: DataFrame, pool: DataFrame, columns: dict[str, str]) -> DataFrame:
+    """PAIR + PREFIX_wjacc, PREFIX_wextra, PREFIX_wmissing for every word column: prefix in columns."""
+    left, right = record_weights(s1, pool, list(columns))
+    renamed = right.withColumnsRenamed({f"w_{c}": f"v_{c}" for c in columns})
+    rows = pairs.select(*PAIR).join(left, ["country", "s1_id"], "left").join(renamed, ["country", "pool_id"], "left")
+    made = {}
+    for c, prefix in columns.items():
+        made |= weighted_stats(F.col(f"w_{c}"), F.col(f"v_{c}"), prefix)
+    return rows.select(*PAIR, *[v.alias(k) for k, v in made.items()])
 
 
 def rate_tables(labelled: DataFrame, s1: DataFrame, pool: DataFrame, alpha: float = 20.0, least: int = 5) -> dict:
@@ -153,9 +175,7 @@ def pair_features(cands: DataFrame, s1: DataFrame, pool: DataFrame, tables: dict
     f |= region_flags() | {"reg_pool_unknown": flag(p("region") == "")}
     f |= {"x_name_in_addr": F.greatest(score("partial_token_set_ratio", s("n_core2"), p("a_alpha")), score("partial_token_set_ratio", p("n_core2"), s("a_alpha"))), "src3": flag(p("src") == 3), "pool_script": flag(has_indic(p("raw_name"))), "n_ntok1": s("n_ntok"), "n_ntok2": p("n_ntok"), "n_len1": F.length(s("n_core2")), "n_len2": F.length(p("n_core2"))}
     out = rows.select(*PAIR, "s_name", "s_combo", "s_addr", *[c.alias(n) for n, c in f.items()])
-    for column, prefix in (("n_core2", "nt"), ("a_street", "street"), ("a_loc2", "loc"), ("a_alpha", "alpha")):
-        out = out.join(weighted_sets(cands, s1, pool, column, prefix), PAIR, "left")
-    out = out.fillna(0.0, [f"{p}_{k}" for p in ("nt", "street", "loc", "alpha") for k in ("wjacc", "wextra", "wmissing")])
+    out = out.join(weighted_sets(cands, s1, pool, {"n_core2": "nt", "a_street": "street", "a_loc2": "loc", "a_alpha": "alpha"}), PAIR)
     return out.join(rate_features(cands, s1, pool, tables), PAIR).join(per_s1, ["country", "s1_id"]).join(per_pool, ["country", "pool_id"])
 
 

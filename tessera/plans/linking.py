@@ -20,7 +20,7 @@ PEOPLE = """SELECT *, replace(n_core2, ' ', '') AS n_compact, replace(replace(n_
     n_core2 AS n_core, n_core2 AS n_sorted2, n_core2 || CASE id % 3 WHEN 0 THEN ' llc' WHEN 1 THEN '' ELSE ' ltd inc' END AS n_name, CASE id % 3 WHEN 0 THEN 'llc' WHEN 1 THEN '' ELSE 'inc ltd' END AS n_legal,
     CASE WHEN id % 10 = 0 THEN '' ELSE CAST(id % 37 AS STRING) END AS a_hn, CASE id % 10 WHEN 0 THEN '' WHEN 7 THEN (id % 37) || ' ' || (id % 5 + 40) WHEN 9 THEN (id % 37) || ' ' || (id % 3) || ' ' || (id % 4 + 50) ELSE CAST(id % 37 AS STRING) END AS hn_text,
     a_street || ' ' || a_loc2 AS a_alpha, part AS region, CASE WHEN id % 17 = 0 THEN 1 ELSE 0 END AS addr_empty
-    FROM (SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN 1 WHEN c_custkey % 2 = 0 THEN 2 ELSE 3 END AS src, CASE WHEN c_custkey % 8 < 6 THEN 'us' ELSE 'india' END AS country, CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN 'nv' ELSE 'tx' END AS part,
+    FROM (SELECT c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN 1 WHEN c_custkey % 2 = 0 THEN 2 ELSE 3 END AS src, CASE WHEN c_custkey % 16 < 10 THEN 'us' ELSE 'india' END AS country, CASE c_custkey % 7 WHEN 0 THEN '' WHEN 1 THEN 'nv' ELSE 'tx' END AS part,
         chr(CAST(97 + c_custkey % 13 AS INT)) || 'arbor ' || chr(CAST(97 + c_custkey % 7 AS INT)) || 'ilver' || CASE WHEN c_custkey % 5 = 0 THEN ' tech' ELSE '' END || CASE WHEN c_custkey % 11 = 0 THEN ' extra' ELSE '' END AS n_core2,
         CASE WHEN c_custkey % 6 = 0 THEN chr(CAST(97 + c_custkey % 13 AS INT)) || 'arbor' ELSE '' END AS n_dom, chr(CAST(97 + c_custkey % 9 AS INT)) || 'oak' || CASE WHEN c_custkey % 4 = 1 THEN ' hill st' ELSE '' END AS a_street,
         chr(CAST(97 + c_custkey % 5 AS INT)) || 'ville tx' AS a_loc2 FROM customer) AS c"""

@@ -310,7 +310,7 @@ _IDF = ", t AS (SELECT country, id, src, unnest(list_distinct(list_filter(string
 @query(PAIRS + _IDF + ", a AS (SELECT p.s1_id, p.pool_id, t.word, 1 AS side, idf FROM p JOIN t ON t.id = p.s1_id JOIN wi ON wi.country = t.country AND wi.word = t.word UNION ALL SELECT p.s1_id, p.pool_id, t.word, 2, idf FROM p JOIN t ON t.id = p.pool_id JOIN wi ON wi.country = t.country AND wi.word = t.word), b AS (SELECT s1_id, pool_id, word, sum(side) AS s, any_value(idf) AS idf FROM a GROUP BY ALL) SELECT s1_id, pool_id, round(coalesce(sum(idf) FILTER (s = 3), 0) / sum(idf), 5) AS nt_wjacc, round(coalesce(sum(idf) FILTER (s = 2), 0), 5) AS nt_wextra, round(coalesce(sum(idf) FILTER (s = 1), 0), 5) AS nt_wmissing FROM b GROUP BY s1_id, pool_id".replace("sum(side) AS s, any_value(idf) AS idf FROM a GROUP BY ALL", "sum(side) AS s, any_value(idf) AS idf FROM a GROUP BY s1_id, pool_id, word"))
 def weighted_sets(spark, sf_dir):
     r = records(spark, sf_dir).select("country", F.col("id").alias("eid"), "src", F.col("name").alias("n_core2"))
-    out = X.weighted_sets(pairs(spark, sf_dir), r.filter("src = 1"), r.filter("src > 1"), "n_core2", "nt").drop("country")
+    out = X.weighted_sets(pairs(spark, sf_dir), r.filter("src = 1"), r.filter("src > 1"), {"n_core2": "nt"}).drop("country")
     return out.withColumns({c: F.round(c, 5) for c in ("nt_wjacc", "nt_wextra", "nt_wmissing")})
 
 
@@ -486,4 +486,4 @@ def flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_cosine_partitioned(spark, sf_dir)
 
 
-from tessera.plans import linking, parsing  # noqa: E402, F401  they register their queries
+from tessera.plans import linking, parsing, results  # noqa: E402, F401  they register their queries

@@ -17,10 +17,11 @@ from tessera.functions.text import NAME_VIEWS, country, name_views
 RAW = ("entity_id", "business_name", "business_address", "country")
 
 
-def read_tsv(spark: SparkSession, path: str, columns: tuple = RAW) -> DataFrame:
-    """The named columns of a headed tab-separated file, by name, as strings."""
+def read_tsv(spark: SparkSession, path: str, columns: tuple = RAW, position: str | None = None) -> DataFrame:
+    """The named columns of a headed tab-separated file, by name, as strings; and, if named, a column that grows with the row's place in the file."""
     df = spark.read.csv(path, sep="\t", header=True, quote="", escape="", inferSchema=False, nullValue="\0", emptyValue="")
-    return df.select(*[F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns])
+    named = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns]
+    return df.select(*named, *([F.monotonically_increasing_id().alias(position)] if position else []))
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
@@ -67,14 +68,44 @@ def countries(df: DataFrame) -> list[str]:
     return sorted(r.country for r in df.select("country").distinct().collect())
 
 
-def id_lists(entities: DataFrame, pairs: DataFrame, entity: str, item: str, chosen: str | None = None) -> DataFrame:
-    """One row per entity: its items, sorted and comma-joined, empty allowed; and, with a flag column, those chosen.
-    The chosen are a subset of all by construction."""
-    joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
-    sums = [joined(F.col(item)).alias("ids")] + ([joined(F.when(F.col(chosen), F.col(item))).alias("chosen_ids")] if chosen else [])
+def id_lists(entities: DataFrame, pairs: DataFrame, entity: str, item: str, chosen: str | None = None, order: str | None = None) -> DataFrame:
+    """One row per entity: its items, comma-joined in the given order (else sorted as text), empty allowed; and, with a flag
+    column, those chosen. The chosen are a subset of all by construction. Other columns of entities stay."""
+    key = [order] if order else []
+    joined = lambda c: F.array_join(F.transform(F.array_sort(F.collect_set(c)), lambda x: x[item]), ",")
+    place = F.struct(*key, item)
+    sums = [joined(place).alias("ids")] + ([joined(F.when(F.col(chosen), place)).alias("chosen_ids")] if chosen else [])
     lists = pairs.groupBy(entity).agg(*sums)
     names = ["ids"] + (["chosen_ids"] if chosen else [])
-    return entities.select(entity).join(lists, entity, "left").select(entity, *[F.coalesce(n, F.lit("")).alias(n) for n in names])
+    return entities.join(lists, entity, "left").select(*entities.columns, *[F.coalesce(n, F.lit("")).alias(n) for n in names])
+
+
+def write_lists(lists: DataFrame, path: str, entity: str, order: str, matches: str = "chosen_ids", all_ids: str = "ids") -> None:
+    """The two result lists as folders of tab-separated files, matching_results.tsv and candidate_pairs.tsv, rows in the given order."""
+    for name, column, header in (("matching_results", matches, "matched_entity_ids"), ("candidate_pairs", all_ids, "candidate_entity_ids")):
+        write_tsv(lists.orderBy(order).select(F.col(entity).alias("source1_entity_id"), F.col(column).alias(header)), f"{path}/{name}.tsv")
+
+
+def read_lists(spark: SparkSession, path: str) -> DataFrame:
+    """s1_id, ids of a result list, whatever its header; rows without a tab have no ids."""
+    fields = F.split("value", "\t", 2)
+    rows = spark.read.text(path).select(F.trim(fields[0]).alias("s1_id"), F.coalesce(F.get(fields, 1), F.lit("")).alias("ids"))
+    return rows.filter((F.col("s1_id") != "") & (F.col("s1_id") != "source1_entity_id"))
+
+
+def read_ids(spark: SparkSession, path: str, header: str = "entity_id") -> DataFrame:
+    """Distinct ids of a tab-separated file's first column."""
+    ids = spark.read.text(path).filter(F.trim("value") != "").select(F.trim(F.split_part("value", F.lit("\t"), F.lit(1))).alias("id"))
+    return ids.filter(F.col("id") != header).distinct()
+
+
+def write_by_country(df: DataFrame, path: str) -> None:
+    """A folder per country, so that a scan of one reads nothing else."""
+    df.write.mode("overwrite").option("compression", "zstd").partitionBy("country").parquet(path)
+
+
+def read_country(spark: SparkSession, path: str, country_name: str, columns: list[str]) -> DataFrame:
+    return spark.read.option("spark.sql.sources.partitionColumnTypeInference.enabled", "false").parquet(path).filter(F.col("country") == country_name).select(*columns)
 
 
 def exploded_lists(lists: DataFrame, entity: str, ids: str = "ids") -> DataFrame:
