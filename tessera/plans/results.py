@@ -87,9 +87,9 @@ def learned_words(spark, sf_dir):
 def translated_names(spark, sf_dir):
     """Learned words applied to the views of Indic names; other names keep theirs."""
     rows = _named(spark, sf_dir)
-    words = {r.word: r.meaning for r in R.learn_translations(rows).collect()}
+    words = R.learn_translations(rows)
     views = ("n_core", "n_core2", "n_sorted2", "n_compact", "n_skel", "n_first")
-    out = R.translate(rows.withColumn("n_name", F.col("pool_name")).withColumns({c: F.lit("-") for c in views}), words)
+    out = R.translate_by(rows.withColumn("n_name", F.col("pool_name")).withColumns({c: F.lit("-") for c in views}), words)
     return out.select("id", "n_name", *[c for c in views if c != "n_skel"])
 
 

@@ -40,11 +40,32 @@ def world(spark):
     return s1, pool, spark.createDataFrame(truth, "s1_id string, pool_id string")
 
 
-def test_end_to_end(spark, world):
+@pytest.fixture(scope="module")
+def trained(spark, world, tmp_path_factory):
+    """Files of both splits, and a model trained from them by the command line's function."""
+    from tessera.plans import run
+
     s1, pool, truth = world
+    data, work = (str(tmp_path_factory.mktemp(x)) for x in ("data", "work"))
+    for split in ("train", "test"):
+        for n, df in ((1, s1), (2, pool.filter("src = 2")), (3, pool.filter("src = 3"))):
+            IO.write_tsv(df.select(F.col("eid").alias("entity_id"), F.col("raw_name").alias("business_name"), F.col("raw_addr").alias("business_address"), "country"), f"{data}/{split}_source{n}.tsv")
+    lines = truth.groupBy("s1_id").agg(F.concat_ws("\t", "s1_id", F.array_join(F.collect_list("pool_id"), ",")).alias("value")).select("value")
+    lines.write.text(f"{data}/train_ground_truth.tsv")
     cfg = linkage.Settings(universe=1.0, hidden=0.05, tab=0.25, train=0.4, val=0.25, rounds=(5, 5, 5), expand=True, blocking=B.Blocking(min_part=10, max_df=0.5))
-    model = linkage.fit(s1, pool, truth, cfg)
-    done = linkage.predict(model, s1, pool, cfg)
+    return run.train(spark, data, work, cfg), data, work, cfg
+
+
+@pytest.fixture(scope="module")
+def done(spark, world, trained):
+    from tessera.shared import materialize
+
+    model, _, _, cfg = trained
+    return materialize(linkage.predict(model, world[0], world[1], cfg), "done")
+
+
+def test_end_to_end(spark, world, done):
+    s1, pool, truth = world
     matches = done.filter("match")
     scores = E.summary(E.entity_scores(s1.select(F.col("eid").alias("s1_id")), matches, truth)).first()
     assert scores.macro_f05 > 0.8
@@ -57,6 +78,23 @@ def test_end_to_end(spark, world):
     assert found.oracle_after_blocking >= found.model_without_fp >= found.model and found.true_pairs == truth.count()
 
 
+def test_command_line(spark, trained, done, tmp_path, capsys):
+    """Prediction by the saved model from files, both lists valid, the exit status of a bad one, and single stages."""
+    from tessera.plans import run
+
+    model, data, work, cfg = trained
+    out, again = str(tmp_path / "out"), linkage.load(spark, f"{work}/model")
+    assert again.decision == model.decision and again.grid == model.grid
+    scores = lambda df: sorted((r.s1_id, r.pool_id, round(r.pc, 9), r.match) for r in df.collect())
+    assert scores(run.predict(spark, data, work, out, cfg)) == scores(done)
+    assert spark.read.json(f"{out}/diagnostics.json").first().s1 == 160
+    files = ["--matching", f"{out}/matching_results.tsv", "--candidates", f"{out}/candidate_pairs.tsv", "--data", data]
+    assert run.main(["check", *files, "--check-ids"]) == 0 and "PASS" in capsys.readouterr().out
+    assert run.main(["check", "--matching", f"{out}/candidate_pairs.tsv", "--data", data]) == 1 and "header" in capsys.readouterr().out
+    run.main(["stage", "--data", data, "--work", work, "--stages", "norm,regions"])
+    assert spark.read.parquet(f"{work}/train/s1_regions").count() == 160
+
+
 def test_regions_of_records(spark, world):
     from tessera.operators import regions as R
 

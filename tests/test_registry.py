@@ -42,7 +42,7 @@ def test_sql(name, spark, duck):
     assert _rows(got.collect(), [got.columns.index(n) for n in names]) == _rows(want.fetchall(), [want.columns.index(n) for n in names])
 
 
-@pytest.mark.parametrize("name", ["parsed_records", "blocked_candidates", "calibrated_scores"])
+@pytest.mark.parametrize("name", ["parsed_records", "blocked_candidates"])
 def test_rows(name, spark):
     assert registry.QUERIES[name](spark, SF).count() > 0
 
@@ -83,8 +83,8 @@ def test_similarities():
 
 def test_sql_names(spark):
     SIM.register(spark)
-    row = spark.sql("select ratio('ab', 'ab') as r, name_views('Acme Ltd').core2 as c, address_views('12 Main Street, X').hn as h").first()
-    assert (row.r, row.c, row.h) == (100.0, "acme", "12")
+    row = spark.sql("select ratio('ab', 'ab') as r, digit_runs('12 b012 3') as d, sorted_letters('bcdefgha') as s, has_indic('aग') as i, ascii_text('Né') as a, grams('ab c', 3) as g, expected_prefix(array(1.0D, 0.75D), 0.0D) as k, expected_prefix(array(0.4D), 0.0D) as z").first()
+    assert tuple(row) == (100.0, ["12", "3"], "abcdefgh", True, "ne", [" ab", "ab ", "b c", " c "], 2, 0)
 
 
 @pytest.mark.parametrize("p", [[0.9], [0.4], [1.0, 0.7], [1.0, 0.75], [0.9, 0.8, 0.3, 0.1]])
@@ -131,11 +131,15 @@ def test_translations(spark):
     from tessera.operators import regions as R
 
     pairs = spark.createDataFrame([("गणेश ट्रेडर्स", "ganes tredars", "ganesh traders")] * 3, "raw_name string, pool_name string, s1_name string")
-    words = {r.word: r.meaning for r in R.learn_translations(pairs).collect()}
-    assert words == {"ganes": "ganesh", "tredars": "traders"}
+    words = R.learn_translations(pairs)
+    assert {r.word: r.meaning for r in words.collect()} == {"ganes": "ganesh", "tredars": "traders"}
     views = {c: "" for c in ("n_core", "n_core2", "n_sorted2", "n_compact", "n_skel", "n_first")}
-    row = R.translate(spark.createDataFrame([("गणेश", "ganes tredars ltd")], "raw_name string, n_name string").withColumns({c: F.lit(v) for c, v in views.items()}), words).first()
-    assert (row.n_name, row.n_core2, row.n_skel) == ("ganesh traders ltd", "ganesh traders", "jns trdrs")
+    rows = spark.createDataFrame([("in", 1, "गणेश", "ganes tredars ltd"), ("in", 2, "plain", "ganes"), ("in", 3, "ग", "")], "country string, eid int, raw_name string, n_name string").withColumns({c: F.lit(v) for c, v in views.items()})
+    for most in (20_000, 1):  # as a map, and joined by word
+        got = {r.eid: r for r in R.translate_by(rows, words, most).collect()}
+        assert (got[1].n_name, got[1].n_core2, got[1].n_skel) == ("ganesh traders ltd", "ganesh traders", "jns trdrs")
+        assert got[2].n_name == "ganes" and got[3].n_name == ""
+    assert R.translate_by(rows, words.filter("false")) is rows
 
 
 def test_merges():
