@@ -43,7 +43,11 @@ def query(sql: str | None = None):
 
 RECORDS = f"""r AS (SELECT doc_id AS id, CASE WHEN doc_id % 4 = 0 THEN 1 ELSE 2 + doc_id % 2 END AS src, lang AS country, substr(trim(regexp_replace(translate(lower(substr(coalesce(text, ''), 1, 96)), '{T.ACCENTED}', '{T.PLAIN}'), '[^a-z0-9]+', ' ', 'g')), 1, 1) AS part,
     trim(regexp_replace(translate(lower(substr(coalesce(text, ''), 1, 96)), '{T.ACCENTED}', '{T.PLAIN}'), '[^a-z0-9]+', ' ', 'g')) AS name FROM documents) """
-PAIRS = ", p AS (SELECT a.country, a.id AS s1_id, b.id AS pool_id, list_distinct(list_filter(string_split(a.name, ' '), lambda x: x <> '')) AS ta, list_distinct(list_filter(string_split(b.name, ' '), lambda x: x <> '')) AS tb, a.name AS na, b.name AS nb FROM r a JOIN r b ON a.country = b.country AND a.part = b.part AND a.src = 1 AND b.src > 1) "
+#: Pairs of both sides that share a word of five letters or more, words within caps: what blocking would offer.
+PAIRS = """, kw AS (SELECT DISTINCT country, id, src, t FROM (SELECT country, id, src, unnest(string_split(name, ' ')) AS t FROM r) WHERE length(t) >= 5),
+    kc AS (SELECT country, t FROM kw GROUP BY ALL HAVING count(*) FILTER (src = 1) BETWEEN 1 AND 30 AND count(*) FILTER (src > 1) BETWEEN 1 AND 60),
+    kp AS (SELECT DISTINCT country, a.id AS s1_id, b.id AS pool_id FROM kw a JOIN kc USING (country, t) JOIN kw b USING (country, t) WHERE a.src = 1 AND b.src > 1),
+    p AS (SELECT kp.country, s1_id, pool_id, list_distinct(list_filter(string_split(a.name, ' '), lambda x: x <> '')) AS ta, list_distinct(list_filter(string_split(b.name, ' '), lambda x: x <> '')) AS tb, a.name AS na, b.name AS nb FROM kp JOIN r a ON a.id = s1_id JOIN r b ON b.id = pool_id) """
 SCORED = ", c AS (SELECT l_orderkey AS s1_id, l_partkey AS pool_id, max(l_discount) * 10 AS p, max(CASE WHEN l_returnflag = 'R' THEN 1 ELSE 0 END) AS y FROM lineitem GROUP BY ALL) "
 
 
@@ -57,13 +61,21 @@ def records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return d.select(F.col("doc_id").alias("id"), src.alias("src"), F.col("lang").alias("country"), T.simple_name(F.col("text")).alias("name")).withColumn("part", F.substring("name", 1, 1)).select("id", "src", "country", "part", "name")
 
 
-def pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every S1 record with the pool records of its country and partition."""
+def keyed(r: DataFrame) -> DataFrame:
+    """country, id, src, t: the distinct words of five letters or more."""
+    return r.select("country", "id", "src", F.explode(F.array_distinct(T.tokens(F.col("name")))).alias("t")).filter(F.length("t") >= 5)
+
+
+def pairs(spark: SparkSession, sf_dir: str, most: tuple = (30, 60)) -> DataFrame:
+    """S1 and pool records of a country that share a word within the caps, with their names and words."""
     r = records(spark, sf_dir)
     words = F.array_distinct(T.tokens(F.col("name")))
-    a = r.filter("src = 1").select("country", "part", F.col("id").alias("s1_id"), words.alias("ta"), F.col("name").alias("na"))
-    b = r.filter("src > 1").select("country", "part", F.col("id").alias("pool_id"), words.alias("tb"), F.col("name").alias("nb"))
-    return a.join(b, ["country", "part"]).drop("part")
+    k = keyed(r)
+    side = lambda c, n: k.filter(c).select("country", "t", F.col("id").alias(n))
+    found = B.capped_join(side("src = 1", "s1_id"), side("src > 1", "pool_id"), ["country", "t"], F.lit(most[0]), F.lit(most[1])).select("country", "s1_id", "pool_id").distinct()
+    a = r.filter("src = 1").select("country", F.col("id").alias("s1_id"), words.alias("ta"), F.col("name").alias("na"))
+    b = r.filter("src > 1").select("country", F.col("id").alias("pool_id"), words.alias("tb"), F.col("name").alias("nb"))
+    return found.join(a, ["country", "s1_id"]).join(b, ["country", "pool_id"])
 
 
 def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -215,7 +227,7 @@ def top_cosine_reverse(spark, sf_dir):
     return _top(spark, sf_dir, ["country", "part"], 2, 0.15, reverse=True)
 
 
-@query(_GRAMS + ", q AS (SELECT a.country, a.id AS s1_id, b.id AS pool_id FROM r a JOIN r b ON a.country = b.country AND a.part = b.part AND a.src = 1 AND b.src > 1) SELECT s1_id, pool_id, round(coalesce(s, 0), 6) AS score FROM q LEFT JOIN (SELECT a.id AS s1_id, b.id AS pool_id, sum(a.w * b.w) AS s FROM v a JOIN v b ON a.country = b.country AND a.gram = b.gram AND a.src = 1 AND b.src > 1 GROUP BY ALL) USING (s1_id, pool_id)")
+@query(_GRAMS + PAIRS + "SELECT s1_id, pool_id, round(coalesce(s, 0), 6) AS score FROM kp LEFT JOIN (SELECT a.id AS s1_id, b.id AS pool_id, sum(a.w * b.w) AS s FROM v a JOIN v b ON a.country = b.country AND a.gram = b.gram AND a.src = 1 AND b.src > 1 GROUP BY ALL) USING (s1_id, pool_id)")
 def pair_cosine(spark, sf_dir):
     v = _vectors(spark, sf_dir)[2]
     some = pairs(spark, sf_dir).select("country", "s1_id", "pool_id")
@@ -235,8 +247,8 @@ _KEYED = ", k AS (SELECT DISTINCT country, id, src, t FROM (SELECT country, id,
 
 @query(_KEYED + ", ok AS (SELECT country, t FROM k GROUP BY ALL HAVING count(*) FILTER (src = 1) BETWEEN 1 AND 4 AND count(*) FILTER (src > 1) BETWEEN 1 AND 30) SELECT DISTINCT a.id AS s1_id, b.id AS pool_id FROM k a JOIN ok USING (country, t) JOIN k b USING (country, t) WHERE a.src = 1 AND b.src > 1")
 def capped_key_join(spark, sf_dir):
-    keyed = records(spark, sf_dir).select("country", "id", "src", F.explode(F.array_distinct(T.tokens(F.col("name")))).alias("t")).filter(F.length("t") >= 5)
-    side = lambda c, n: keyed.filter(c).select("country", "t", F.col("id").alias(n))
+    k = keyed(records(spark, sf_dir))
+    side = lambda c, n: k.filter(c).select("country", "t", F.col("id").alias(n))
     return B.capped_join(side("src = 1", "s1_id"), side("src > 1", "pool_id"), ["country", "t"], F.lit(4), F.lit(30)).select("s1_id", "pool_id").distinct()
 
 
