@@ -161,6 +161,14 @@ def test_whole_licenses_and_titles(spark):
     assert [got[i] for i in range(len(rows))] == [name for name, _ in rows]
 
 
+def test_licenses_of_long_texts_and_clashing_columns(spark):
+    """A licence inside a very long text doesn't match; columns named like the operator's are no matter; repeated rows are alike."""
+    mit = licenses.LICENSES["MIT"]
+    rows = [(1, "word " * 200_000 + mit), (2, mit + "\n" * 100_000), (2, mit + "\n" * 100_000), (None, mit)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "'x' as digest", "1 as canonical", "'z' as license_id")
+    assert sorted(((r.doc_id, r.license_id) for r in licenses.scan(docs).collect()), key=str) == [(1, None), (2, "MIT"), (2, "MIT"), (None, "MIT")]
+
+
 NOTICES = ["Copyright Jane Doe 2020", "Copyright The Foo Authors", "Copyright [yyyy] [name]", "Copyright <YEAR> <HOLDER>", "Copyright (c) <year> <owner>", "Portions Copyright (c) 2001 X", "; Copyright (c) 2020 X", "<!-- Copyright (c) 2020 X -->", "// Copyright 2020 X", "-- Copyright (c) 2020 X", "(c) 2020 X", "© X", "Copyright (c) 2020 X\nAll rights reserved.", "# Copyright 2020 X\n#\n# All rights reserved.", "All rights reserved.\nCopyright X", "Copyright X\nCopyright (c) 1999 Y. All rights reserved."]
 SENTENCES = ["copyright holders or contributors be liable", "COPYRIGHT HOLDERS BE LIABLE FOR ANY CLAIM", "copyright notice and this permission notice", "Copyright and Related Rights include", "copyright owner that is granting", "copyright license to reproduce", "All rights reserved."]
 
