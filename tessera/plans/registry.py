@@ -239,7 +239,7 @@ def pair_cosine(spark, sf_dir):
 def top_projected(spark, sf_dir):
     """Random projections and bands: approximate candidates, exact scores; a test measures recall."""
     v = _vectors(spark, sf_dir)[2]
-    return G.top_projected(v.filter("src = 1").withColumnRenamed("id", "s1_id"), v.filter("src > 1").withColumnRenamed("id", "pool_id"), ["country"], "s1_id", "pool_id", 8, 0.3)
+    return G.top_projected(v.filter("src = 1").withColumnRenamed("id", "s1_id"), v.filter("src > 1").withColumnRenamed("id", "pool_id"), ["country"], "s1_id", "pool_id", 8, 0.6)
 
 
 _KEYED = ", k AS (SELECT DISTINCT country, id, src, t FROM (SELECT country, id, src, unnest(string_split(name, ' ')) AS t FROM r) WHERE length(t) >= 5) "

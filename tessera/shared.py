@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 BROADCAST_ROWS = 500_000
 
 _LOCAL: dict[str, str] = {}
+#: Folders made by this process, in order.
+_MADE: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -38,6 +40,7 @@ def shared_dir(spark: SparkSession) -> str:
 def new_path(spark: SparkSession, name: str) -> str:
     """A new path in the shared folder; what is there when this process ends goes."""
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    _MADE.append(path)
 
     def clear() -> None:
         with contextlib.suppress(Exception):
@@ -64,6 +67,18 @@ def remove(spark: SparkSession, path: str) -> None:
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
 
 
+def made() -> int:
+    """How many work folders this process has made: a mark for drop_made."""
+    return len(_MADE)
+
+
+def drop_made(spark: SparkSession, mark: int) -> None:
+    """Removes the work folders made since the mark but for the last, the result of a finished stage: what it was made from isn't needed again."""
+    for path in _MADE[mark:-1]:
+        remove(spark, path)
+    del _MADE[mark:-1]
+
+
 def size_in_bytes(df: DataFrame) -> int:
     """The optimizer's estimate of df's size: for a scan, the bytes of its files."""
     return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())

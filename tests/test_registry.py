@@ -101,6 +101,7 @@ def test_expected_f(p):
 
 
 def test_projection_recall(spark):
+    """Recall at the query's own threshold."""
     near = registry.top_projected(spark, "/root/testdata/sf0.01").select("s1_id", "pool_id")
     exact = registry.top_cosine_global(spark, "/root/testdata/sf0.01").filter("score >= 0.6").select("s1_id", "pool_id")
     assert exact.join(near, ["s1_id", "pool_id"]).count() >= 0.9 * exact.count() > 0

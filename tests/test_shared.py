@@ -31,3 +31,12 @@ def test_join_of_hot_keys(spark, monkeypatch, most, how):
     got = sorted(map(tuple, shared.join_hot(df, keys, ["k"], "n", how, hot=5).collect()))
     want = sorted((r.k, r.v, 2 * r.k if r.k % 2 == 0 else None) for r in df.collect() if how == "left" or r.k % 2 == 0)
     assert got == want
+
+
+def test_work_folders_of_a_stage_go(spark, tmp_path):
+    mark = shared.made()
+    tables = [shared.materialize(spark.range(n), "t") for n in (3, 4, 5)]
+    shared.drop_made(spark, mark)
+    assert tables[-1].count() == 5 and shared.made() == mark + 1
+    with pytest.raises(Exception, match="(?i)not exist|no such"):
+        tables[0].count()
