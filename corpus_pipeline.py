@@ -2,7 +2,7 @@
 
 Each stage takes (spark, docs, sf_dir), works on all rows its predecessor kept, and
 returns the columns of documents, except the last, which returns pieces of
-sequences. ``run`` writes every stage's result to the shared folder and rereads it.
+sequences. ``run`` writes every stage's result to the shared folder, rereads it, and removes what it was made from.
 
 Ids name documents: rows that share an id stay or go together, but for wholly equal
 rows, of which exact dedup keeps one. A null id is an id too.
@@ -18,7 +18,7 @@ from tessera.llm.mixing import mixture
 from tessera.llm.ngram_join import jaccard_components
 from tessera.llm.packing import pack
 from tessera.llm.toxicity import held_out_third, score_column, train
-from tessera.shared import join_slim, materialize
+from tessera.shared import drop_made, join_slim, made, materialize
 
 #: No stage's rows can be stated in SQL from the first on: a trained classifier decides.
 ORACLE_SQL = None
@@ -80,7 +80,8 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, mark = spark.read.parquet(f"{sf_dir}/documents.parquet"), made()
     for name, stage in STAGES[:-1]:
         docs = materialize(stage(spark, docs, sf_dir), name)
+        drop_made(spark, mark)
     return STAGES[-1][1](spark, docs, sf_dir)
