@@ -24,7 +24,8 @@ label of 0 is used for nothing else. Scoring covers every text and whole texts,
 Nulls: a null text has no words and gets the score of the bias. Labels without a
 document, documents without a label and null labels are unlabelled. A document
 labelled both 0 and 1 is positive. Without positives every score is 0. Repeated
-rows are scored alike. Other columns are ignored. Empty tables give no rows.
+rows are scored alike; a text of any length is scored whole. Ties in z-score go to the lesser feature. Other columns are
+ignored. Empty tables give no rows.
 """
 
 from __future__ import annotations
