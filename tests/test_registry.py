@@ -100,6 +100,22 @@ def test_expected_f(p):
     assert best[best_prefix(np.array(p), 0.0)] == pytest.approx(top)
 
 
+@pytest.mark.parametrize("p", [[0.9], [0.55], [0.9, 0.5], [0.8, 0.6, 0.3]])
+@pytest.mark.parametrize("lam", [0.02, 0.4, 1.5])
+def test_expected_f_with_missed_matches(p, lam):
+    """All outcomes enumerated, with Poisson many true matches that were never found."""
+    missed = [np.exp(-lam) * lam**m / np.prod(range(1, m + 1), dtype=float) for m in range(12)]
+    value = {}
+    for k in range(len(p) + 1):
+        value[k] = 0.0
+        for y in itertools.product((0, 1), repeat=len(p)):
+            chance = np.prod([q if t else 1 - q for q, t in zip(p, y, strict=True)])
+            for m, c in enumerate(missed):
+                true = sum(y) + m
+                value[k] += chance * c * ((1.0 if true == 0 else 0.0) if k == 0 else 1.25 * sum(y[:k]) / (k + 0.25 * true))
+    assert value[best_prefix(np.array(p), lam)] == pytest.approx(max(value.values()))
+
+
 def test_projection_recall(spark):
     """Recall at the query's own threshold."""
     near = registry.top_projected(spark, "/root/testdata/sf0.01").select("s1_id", "pool_id")
