@@ -15,7 +15,7 @@ from tessera.operators.grouping import best_claimants
 from tessera.plans.linking import _CANDS, _PEOPLE, candidates, people
 from tessera.plans.parsing import _ADDRESSES, _VIEWS, ADDRESS, NAME, _quoted
 from tessera.plans.registry import _PLACES, SCORED, _places, query, r6, scored, table
-from tessera.shared import new_path
+from tessera.shared import new_path, ranked
 from tessera.sources import tables as IO
 
 # Regions
@@ -266,7 +266,7 @@ def _written(spark, sf_dir):
 def written_lists(spark, sf_dir):
     """Both result files, as written: rows in the order of S1, ids in the order of the pool."""
     path = _written(spark, sf_dir)
-    place = lambda df: df.withColumn("place", F.row_number().over(X.Window.orderBy("at")) - 1).drop("at")
+    place = lambda df: ranked(df.withColumn("file", F.lit(1)), ["file"], [F.col("at")], 8).withColumn("place", F.col("rank") - 1).drop("at", "file", "rank", "total")
     files = [IO.read_tsv(spark, f"{path}/{name}.tsv", ("source1_entity_id", column), "at") for name, column in (("matching_results", "matched_entity_ids"), ("candidate_pairs", "candidate_entity_ids"))]
     return place(files[0]).join(place(files[1]), ["place", "source1_entity_id"])
 
