@@ -18,10 +18,12 @@ RAW = ("entity_id", "business_name", "business_address", "country")
 
 
 def read_tsv(spark: SparkSession, path: str, columns: tuple = RAW, position: str | None = None) -> DataFrame:
-    """The named columns of a headed tab-separated file, by name, as strings; and, if named, a column that grows with the row's place in the file."""
+    """The named columns of a headed tab-separated file, by name, as strings; and, if named, a column that grows with the row's place:
+    by file name, then in the file. Readers open large files first, so the rows' order of reading says nothing across files."""
     df = spark.read.csv(path, sep="\t", header=True, quote="", escape="", inferSchema=False, nullValue="\0", emptyValue="")
     named = [F.coalesce(F.col(f"`{c}`"), F.lit("")).alias(c) if c in df.columns else F.lit("").alias(c) for c in columns]
-    return df.select(*named, *([F.monotonically_increasing_id().alias(position)] if position else []))
+    place = F.struct("_metadata.file_path", F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+    return df.select(*named, *([place.alias(position)] if position else []))
 
 
 def write_tsv(df: DataFrame, path: str) -> None:
