@@ -14,7 +14,7 @@ from tessera.functions.sets import flag, letter_cover, number_flags, number_rela
 from tessera.functions.similarity import similarity
 from tessera.functions.text import has_indic, tokens
 from tessera.operators import blocking as B
-from tessera.operators.grouping import others, rank_gap, relative, second_best, smoothed_rates, sum_and_count, top
+from tessera.operators.grouping import others, rank_gap, relative, second_best, smoothed_counts, sum_and_count, top
 from tessera.shared import join_hot, materialize
 
 PAIR = ["country", "s1_id", "pool_id"]
@@ -127,11 +127,14 @@ def rate_tables(labelled: DataFrame, s1: DataFrame, pool: DataFrame, alpha: floa
     """Smoothed match rates of extra words, missing words and legal-form changes, from labelled pairs (PAIR, y); and the prior."""
     prior = labelled.agg(F.avg(F.col("y").cast("double"))).first()[0]
     prior = 0.05 if prior is None else prior
-    rows = with_records(labelled.select(*PAIR, "y"), s1, pool, ["n_core2", "n_legal"])
-    a, b = _words("n_core2", "s"), _words("n_core2", "p")
-    exploded = lambda x, y: rows.select("y", F.explode(F.array_except(x, y)).alias("word"))
-    legal = rows.select("y", F.concat_ws("->", F.col("s.n_legal"), F.col("p.n_legal")).alias("change"))
-    rate = lambda df, key: smoothed_rates(df, key, "y", prior, alpha, least)
+    # Pairs are counted by the texts that they compare before any word is looked at: texts recur far more often than they differ.
+    texts = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "sp" for c in ("n_core2", "n_legal")]
+    rows = with_records(labelled.select(*PAIR, "y"), s1, pool, ["n_core2", "n_legal"]).groupBy(*texts).agg(F.sum("y").alias("m"), F.count("*").alias("n"))
+    rows = materialize(rows, "compared texts")
+    a, b = (F.array_distinct(tokens(F.col(f"{side}_n_core2"))) for side in "sp")
+    exploded = lambda x, y: rows.select("m", "n", F.explode(F.array_except(x, y)).alias("word"))
+    legal = rows.select("m", "n", F.concat_ws("->", "s_n_legal", "p_n_legal").alias("change"))
+    rate = lambda df, key: smoothed_counts(df.groupBy(key).agg(F.sum("m").alias("m"), F.sum("n").alias("n")), key, prior, alpha, least)
     return {"extra": rate(exploded(b, a), "word"), "missing": rate(exploded(a, b), "word"), "legal": rate(legal, "change"), "prior": prior}
 
 

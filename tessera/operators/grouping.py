@@ -77,4 +77,9 @@ def majority(df: DataFrame, key: Name, value: Name, least: int, purity: float) -
 
 def smoothed_rates(df: DataFrame, key: Name, y: Name, prior: float, alpha: float = 20.0, least: int = 5) -> DataFrame:
     """(positives + alpha prior) / (n + alpha) of every key with enough rows: key, rate."""
-    return df.groupBy(key).agg(F.sum(y).alias("m"), F.count("*").alias("n")).filter(F.col("n") >= least).select(key, ((F.col("m") + alpha * prior) / (F.col("n") + alpha)).alias("rate"))
+    return smoothed_counts(df.groupBy(key).agg(F.sum(y).alias("m"), F.count("*").alias("n")), key, prior, alpha, least)
+
+
+def smoothed_counts(counts: DataFrame, key: Name, prior: float, alpha: float = 20.0, least: int = 5) -> DataFrame:
+    """The same of keys whose positives m and rows n are counted already."""
+    return counts.filter(F.col("n") >= least).select(key, ((F.col("m") + alpha * prior) / (F.col("n") + alpha)).alias("rate"))
