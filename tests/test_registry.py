@@ -190,6 +190,24 @@ def test_truth_and_records_of_whole_texts(spark, tmp_path):
     assert rows["4"].n_name.split()[1:] == ["b", "c", "d", "e", "f"] and rows["4"].addr_empty == 0
 
 
+def test_partial_ratios_of_many_pairs():
+    import random
+    import time
+
+    draw = random.Random(0)
+    text = lambda n, letters: "".join(draw.choice(letters) for _ in range(draw.randint(0, n)))
+    some = [(text(12, "ab "), text(30, "abc ")) for _ in range(2000)] + [(text(300, "abcdef "), text(300, "abcdefüग ")) for _ in range(12)]
+    assert SIM.partial_ratios(some) == [SIM.partial_ratio(*p) for p in some]
+    assert SIM.partial_token_set_ratios(some) == [SIM.partial_token_set_ratio(*p) for p in some]
+    names = [(text(96, "abcdefghij "), text(96, "abcdefghij ")) for _ in range(600)]
+    began = time.process_time()
+    SIM.partial_ratios(names)
+    many = time.process_time() - began
+    began = time.process_time()
+    one = [SIM.partial_ratio(*p) for p in names]
+    assert SIM.partial_ratios(names) == one and many < (time.process_time() - began) / 3
+
+
 def test_similarities_of_all_pairs(spark, tmp_path):
     sf = _tiny(spark, tmp_path, ["silver tech", "silver tek", "sunny silver", "other"])
     rows = {(r.s1_id, r.pool_id): r for r in registry.text_similarities(spark, sf).collect()}
