@@ -15,7 +15,7 @@ from tessera.functions.similarity import similarity
 from tessera.functions.text import has_indic, tokens
 from tessera.operators import blocking as B
 from tessera.operators.grouping import others, rank_gap, relative, second_best, smoothed_counts, sum_and_count, top
-from tessera.shared import join_hot, materialize
+from tessera.shared import join_hot, join_slim, materialize
 
 PAIR = ["country", "s1_id", "pool_id"]
 RECORD = ["n_name", "n_name_alt", "n_core2", "n_sorted2", "n_compact", "n_skel", "n_legal", "n_dom", "n_first", "n_ntok", "a_alpha", "a_hn", "a_hn_runs", "a_nums", "a_street", "a_stype", "a_loc2", "a_unit", "a_has_hn_kw", "a_ncomp", "addr_empty", "raw_name", "region", "part", "src"]
@@ -123,33 +123,71 @@ def weighted_sets(pairs: DataFrame, s1: DataFrame, pool: DataFrame, columns: dic
     return rows.select(*PAIR, *[v.alias(k) for k, v in made.items()])
 
 
-def rate_tables(labelled: DataFrame, s1: DataFrame, pool: DataFrame, alpha: float = 20.0, least: int = 5) -> dict:
-    """Smoothed match rates of extra words, missing words and legal-form changes, from labelled pairs (PAIR, y); and the prior."""
-    prior = labelled.agg(F.avg(F.col("y").cast("double"))).first()[0]
-    prior = 0.05 if prior is None else prior
-    # Pairs are counted by the texts that they compare before any word is looked at: texts recur far more often than they differ.
-    texts = [F.col(f"{side}.{c}").alias(f"{side}_{c}") for side in "sp" for c in ("n_core2", "n_legal")]
-    rows = with_records(labelled.select(*PAIR, "y"), s1, pool, ["n_core2", "n_legal"]).groupBy(*texts).agg(F.sum("y").alias("m"), F.count("*").alias("n"))
-    rows = materialize(rows, "compared texts")
-    a, b = (F.array_distinct(tokens(F.col(f"{side}_n_core2"))) for side in "sp")
-    exploded = lambda x, y: rows.select("m", "n", F.explode(F.array_except(x, y)).alias("word"))
-    legal = rows.select("m", "n", F.concat_ws("->", "s_n_legal", "p_n_legal").alias("change"))
+def numbered_texts(s1: DataFrame, pool: DataFrame) -> tuple[DataFrame, DataFrame, dict]:
+    """The records with s_text (or p_text), the number of a record's name and legal form; and per side (s, p) the numbered texts."""
+    views, out = {}, []
+    for side, records in (("s", s1), ("p", pool)):
+        names = records.select(F.col("n_core2").alias(f"{side}_n_core2"), F.col("n_legal").alias(f"{side}_n_legal"))
+        # Numbers are given as the texts are written, and stay.
+        views[side] = materialize(names.distinct().withColumn(f"{side}_text", F.monotonically_increasing_id()), f"{side} texts")
+        same = F.col("n_core2").eqNullSafe(F.col(f"{side}_n_core2")) & F.col("n_legal").eqNullSafe(F.col(f"{side}_n_legal"))
+        out.append(records.join(views[side], same).drop(f"{side}_n_core2", f"{side}_n_legal"))
+    return *out, views
+
+
+def compared_texts(pairs: DataFrame, s1: DataFrame, pool: DataFrame, views: dict | None = None) -> dict:
+    """What rates need of the texts that pairs compare: rows (PAIR, s_text, p_text) and counts (s_text, p_text with n_core2 and n_legal of
+    each, pairs n, and of labelled pairs the known and their sum m). Texts recur far more often than they differ, so that words are looked
+    at once for two texts. views: of numbered_texts, where pairs were made of such records and have s_text and p_text already."""
+    known = [c for c in ("y",) if c in pairs.columns]
+    if views is None:
+        one, two, views = numbered_texts(s1, pool)
+        numbers = lambda df, side, ident: materialize(df.select("country", F.col("eid").alias(ident), f"{side}_text"), f"{side} numbers")
+        pairs = pairs.select(*PAIR, *known).join(numbers(two, "p", "pool_id"), ["country", "pool_id"]).transform(join_slim, numbers(one, "s", "s1_id"), ["country", "s1_id"], "inner")
+    y = F.col("y") if known else F.lit(None).cast("int")
+    counts = pairs.groupBy("s_text", "p_text").agg(F.sum(y).alias("m"), F.count(y).alias("known"), F.count("*").alias("n"))
+    counts = materialize(counts.join(views["s"], "s_text").join(views["p"], "p_text"), "compared texts")
+    return {"rows": pairs.select(*PAIR, "s_text", "p_text"), "counts": counts}
+
+
+#: The side that has a word and the side that lacks it.
+_EXTRA = {"extra": "ps", "missing": "sp"}
+
+
+def _only(kind: str) -> Column:
+    """The words that only the pool's name (extra) or only the name of S1 (missing) has."""
+    return F.array_except(*[F.array_distinct(tokens(F.col(f"{side}_n_core2"))) for side in _EXTRA[kind]])
+
+
+def _change() -> Column:
+    return F.concat_ws("->", "s_n_legal", "p_n_legal")
+
+
+def rate_tables(labelled: DataFrame, s1: DataFrame, pool: DataFrame, alpha: float = 20.0, least: int = 5, compared: dict | None = None) -> dict:
+    """Smoothed match rates of extra words, missing words and legal-form changes, from labelled pairs (PAIR, y); and the prior.
+    compared: compared_texts of these pairs, where they are known."""
+    rows = (compared or compared_texts(labelled, s1, pool))["counts"]
+    total = rows.agg(F.sum("m").alias("m"), F.sum("known").alias("known")).first()
+    prior = float(total.m) / total.known if total.known else 0.05
     rate = lambda df, key: smoothed_counts(df.groupBy(key).agg(F.sum("m").alias("m"), F.sum("n").alias("n")), key, prior, alpha, least)
-    return {"extra": rate(exploded(b, a), "word"), "missing": rate(exploded(a, b), "word"), "legal": rate(legal, "change"), "prior": prior}
-
-
-def rate_features(pairs: DataFrame, s1: DataFrame, pool: DataFrame, tables: dict) -> DataFrame:
-    """PAIR + least and greatest rate of extra and missing name words (1 and 0 without any), identity and noise counts, lg_rate."""
-    rows = with_records(pairs.select(*PAIR), s1, pool, ["n_core2", "n_legal"])
-    a, b, prior = _words("n_core2", "s"), _words("n_core2", "p"), F.lit(float(tables["prior"]))
-    out = rows.select(*PAIR, F.concat_ws("->", F.col("s.n_legal"), F.col("p.n_legal")).alias("change")).join(tables["legal"].withColumnRenamed("rate", "lg_rate"), "change", "left").select(*PAIR, F.coalesce("lg_rate", prior).alias("lg_rate"))
-    for kind, words in (("extra", F.array_except(b, a)), ("missing", F.array_except(a, b))):
-        exploded = rows.select(*PAIR, F.explode(words).alias("word")).join(tables[kind], "word", "left").withColumn("rate", F.coalesce("rate", prior))
-        sums = exploded.groupBy(*PAIR).agg(F.min("rate").alias("lo"), F.max("rate").alias("hi"), F.count(F.when(F.col("rate") < 0.02, 1)).alias("ident"), F.count(F.when(F.col("rate") > 0.15, 1)).alias("noise"))
-        out = out.join(sums, PAIR, "left")
+    return {k: rate(rows.select("m", "n", F.explode(_only(k)).alias("word")), "word") for k in _EXTRA} | {"legal": rate(rows.select("m", "n", _change().alias("change")), "change"), "prior": prior}
+
+
+def rate_features(pairs: DataFrame, s1: DataFrame, pool: DataFrame, tables: dict, compared: dict | None = None, places: int | None = None) -> DataFrame:
+    """PAIR + least and greatest rate of extra and missing name words (1 and 0 without any), identity and noise counts, lg_rate.
+    compared: compared_texts of these pairs, where they are known; places: rates are rounded to so many, once for two texts."""
+    compared, prior = compared or compared_texts(pairs, s1, pool), F.lit(float(tables["prior"]))
+    texts, both = compared["counts"], ["s_text", "p_text"]
+    out = texts.select(*both, _change().alias("change")).join(tables["legal"].withColumnRenamed("rate", "lg_rate"), "change", "left").select(*both, F.coalesce("lg_rate", prior).alias("lg_rate"))
+    for kind in _EXTRA:
+        exploded = texts.select(*both, F.explode(_only(kind)).alias("word")).join(tables[kind], "word", "left").withColumn("rate", F.coalesce("rate", prior))
+        sums = exploded.groupBy(*both).agg(F.min("rate").alias("lo"), F.max("rate").alias("hi"), F.count(F.when(F.col("rate") < 0.02, 1)).alias("ident"), F.count(F.when(F.col("rate") > 0.15, 1)).alias("noise"))
+        out = out.join(sums, both, "left")
         named = {f"nt_{kind}_rate_min": F.coalesce("lo", F.lit(1.0)), f"nt_{kind}_rate_max": F.coalesce("hi", F.lit(0.0)), f"nt_{kind}_identity": F.coalesce("ident", F.lit(0))} | ({"nt_extra_noise": F.coalesce("noise", F.lit(0))} if kind == "extra" else {})
         out = out.withColumns(named).drop("lo", "hi", "ident", "noise")
-    return out
+    rates = [c for c in out.columns if "rate" in c]
+    out = out if places is None else out.withColumns({c: F.round(F.col(c).cast("double"), places) for c in rates})
+    return join_slim(compared["rows"], materialize(out, "text rates"), both, "inner").drop(*both)
 
 
 def pair_features(cands: DataFrame, s1: DataFrame, pool: DataFrame, tables: dict) -> DataFrame:
