@@ -43,13 +43,17 @@ def ambiguity(s1: DataFrame, pool: DataFrame) -> tuple[DataFrame, DataFrame]:
     return per_s1, per_pool
 
 
-def competition(cands: DataFrame, scores: tuple = ("s_combo", "s_name", "s_addr")) -> DataFrame:
+SCORES = ("s_combo", "s_name", "s_addr")
+SIZES = {"group_size1": "cand_per_s1", "group_size2": "claimants_per_pool"}
+
+
+def competition(cands: DataFrame, scores: tuple = SCORES) -> DataFrame:
     """Ranks, gaps and bests of scores within the S1 record (1) and the pool record (2), over all candidates."""
     out = cands
     for key, tie, suffix in (("s1_id", "pool_id", "1"), ("pool_id", "s1_id", "2")):
         for score in scores:
             out = rank_gap(out, ["country", key], score, tie, suffix)
-    return out.withColumnsRenamed({"group_size1": "cand_per_s1", "group_size2": "claimants_per_pool"})
+    return out.withColumnsRenamed(SIZES)
 
 
 def channels() -> dict[str, Column]:
@@ -225,9 +229,12 @@ def context_features(cands: DataFrame) -> DataFrame:
     out = competition(cands)
     if "pp" in cands.columns:
         out = competition(out.drop("cand_per_s1", "claimants_per_pool"), ("pp",))
-    wanted = [f"{s}_{k}{i}" for s in ("s_combo", "s_name", "s_addr") for i in "12" for k in ("rank", "gap", "best")] + ["cand_per_s1", "claimants_per_pool"]
-    wanted += ["pp", "pp_rank1", "pp_gap1", "pp_rank2", "pp_gap2", "pp_best2"] if "pp" in cands.columns else []
-    return out.select(*PAIR, *wanted)
+    return out.select(*PAIR, *context_columns("pp" in cands.columns))
+
+
+def context_columns(pp: bool) -> list[str]:
+    wanted = [f"{s}_{k}{i}" for s in SCORES for i in "12" for k in ("rank", "gap", "best")] + list(SIZES.values())
+    return wanted + (["pp", "pp_rank1", "pp_gap1", "pp_rank2", "pp_gap2", "pp_best2"] if pp else [])
 
 
 def stage1_features(cands: DataFrame, s1: DataFrame, pool: DataFrame, tables: dict) -> DataFrame:
