@@ -24,11 +24,12 @@ PAIR = ["country", "s1_id", "pool_id"]
 RECORD = ["n_name", "n_name_alt", "n_core2", "n_sorted2", "n_compact", "n_skel", "n_legal", "n_dom", "n_first", "n_ntok", "a_alpha", "a_hn", "a_hn_runs", "a_nums", "a_street", "a_stype", "a_loc2", "a_unit", "a_has_hn_kw", "a_ncomp", "addr_empty", "raw_name", "region", "part", "src"]
 
 
-def with_records(cands: DataFrame, s1: DataFrame, pool: DataFrame, columns: list[str] = RECORD) -> DataFrame:
-    """cands with the records' columns, those of S1 as s_COLUMN and of the pool as p_COLUMN in structs s and p."""
-    left = s1.select("country", F.col("eid").alias("s1_id"), F.struct(*columns).alias("s"))
-    right = pool.select("country", F.col("eid").alias("pool_id"), F.struct(*columns).alias("p"))
-    return cands.join(left, ["country", "s1_id"]).join(right, ["country", "pool_id"])
+def with_records(cands: DataFrame, s1: DataFrame, pool: DataFrame, columns: list[str] = RECORD, of_s1: tuple = (), of_pool: tuple = ()) -> DataFrame:
+    """cands with the records' columns, those of S1 as s_COLUMN and of the pool as p_COLUMN in structs s and p, and further columns of one side.
+    Candidates that are dealt by pool record already, as after competition, are shuffled once."""
+    left = s1.select("country", F.col("eid").alias("s1_id"), F.struct(*columns, *of_s1).alias("s"))
+    right = pool.select("country", F.col("eid").alias("pool_id"), F.struct(*columns, *of_pool).alias("p"))
+    return cands.join(right, ["country", "pool_id"]).join(left, ["country", "s1_id"])
 
 
 def ambiguity(s1: DataFrame, pool: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -100,8 +101,12 @@ def compared(kind: str) -> dict[str, Column]:
 def prune_features(cands: DataFrame, s1: DataFrame, pool: DataFrame) -> DataFrame:
     """The 41 features of the pruner, with the pair's keys and the columns that cands has besides."""
     per_s1, per_pool = ambiguity(s1, pool)
-    rows = with_records(competition(cands), s1, pool).join(per_s1, ["country", "s1_id"]).join(per_pool, ["country", "pool_id"])
-    made = channels() | {"a_empty": F.col("p.addr_empty"), "src3": flag(F.col("p.src") == 3), "n_ntok1": F.col("s.n_ntok"), "n_ntok2": F.col("p.n_ntok")}
+    # What a record is known by meets it before the pairs, which are shuffled with no column that isn't asked for.
+    one = s1.join(per_s1.withColumnRenamed("s1_id", "eid"), ["country", "eid"])
+    two = pool.join(per_pool.withColumnRenamed("pool_id", "eid"), ["country", "eid"])
+    needed = [*sum(COMPARED.values(), []), "n_ntok", "src", "addr_empty"]
+    rows = with_records(competition(cands), one, two, needed, ("amb_s1_name",), ("amb_pool_name_in_s1",))
+    made = channels() | {"a_empty": F.col("p.addr_empty"), "src3": flag(F.col("p.src") == 3), "n_ntok1": F.col("s.n_ntok"), "n_ntok2": F.col("p.n_ntok"), "amb_s1_name": F.col("s.amb_s1_name"), "amb_pool_name_in_s1": F.col("p.amb_pool_name_in_s1")}
     for kind in COMPARED:
         made |= compared(kind)
     kept = [c for c in ("y", "role") if c in cands.columns]
