@@ -99,46 +99,44 @@ def _digest(tokens: np.ndarray) -> bytes | None:
 
 
 def _chunks(bits: int, chunk_tokens: int):
-    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(48 - bits)
+    edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
 
-    def flush(chunk: int, sets: list, index: list, docs: list) -> Iterator[tuple]:
+    def flush(chunk: int, tokens: np.ndarray, docs: list) -> Iterator[tuple]:
+        """tokens: 48 bits of a shingle and 16 of its document; sorted in place, and read bucket by bucket."""
         shared = np.zeros(len(docs), np.int64)
-        if sets:
-            tokens = np.concatenate(sets) >> np.uint64(16)
-            owner = np.repeat(np.array(index, np.int32), [len(s) for s in sets])
-            order = np.argsort(tokens, kind="stable")
-            tokens, owner = tokens[order], owner[order]
-            del order
-            first = np.concatenate(([True], tokens[1:] != tokens[:-1]))
+        tokens.sort()
+        cuts = np.append(np.searchsorted(tokens, edges), len(tokens))
+        for b in np.flatnonzero(np.diff(cuts)).tolist():
+            both = tokens[cuts[b] : cuts[b + 1]]
+            owner, both = (both & np.uint64(MULTI)).astype(np.uint16), both >> np.uint64(16)
+            first = np.concatenate(([True], both[1:] != both[:-1]))
             many = ~first | np.concatenate((~first[1:], [False]))
             shared += np.bincount(owner[many], minlength=len(docs))
-            owner = np.where(many, MULTI, owner)[first]
-            tokens = tokens[first]
-            cuts = np.append(np.searchsorted(tokens, edges), len(tokens))
-            for b in np.flatnonzero(np.diff(cuts)).tolist():
-                yield 1, b, chunk, None, None, None, None, None, _coded(tokens[cuts[b] : cuts[b + 1]], owner[cuts[b] : cuts[b + 1]]), None
+            yield 1, b, chunk, None, None, None, None, None, _coded(both[first], np.where(many, np.uint16(MULTI), owner)[first]), None
         for i, (doc, th, n, cls) in enumerate(docs):
             yield 0, (chunk + i) % (1 << bits), chunk, i, doc, n, cls, int(shared[i]), None, th
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def rows() -> Iterator[tuple]:
-            chunk, sets, index, docs, seen, size = TaskContext.get().partitionId() << 24, [], [], [], {}, 0
+            chunk, docs, seen, size = TaskContext.get().partitionId() << 24, [], set(), 0
+            held = np.empty(chunk_tokens, np.uint64)
             for batch in batches:
                 for at in range(0, batch.num_rows, 256):
                     cut = batch.slice(at, 256)
                     for doc, th, tokens in zip(cut.column(0).to_pylist(), cut.column(1).to_pylist(), shingle_sets(cut.column(2).to_pylist()), strict=True):
-                        cls = _digest(tokens)
+                        cls, i = _digest(tokens), len(docs)
                         docs.append((doc, th, len(tokens), cls))
                         if cls is not None and cls not in seen:
-                            seen[cls] = None
-                            sets.append(tokens)
-                            index.append(len(docs) - 1)
+                            seen.add(cls)
+                            if size + len(tokens) > len(held):
+                                held = np.concatenate([held[:size], np.empty(len(tokens), np.uint64)])
+                            held[size : size + len(tokens)] = tokens & ~np.uint64(MULTI) | np.uint64(i)
                             size += len(tokens)
                         if size >= chunk_tokens or len(docs) >= MULTI - 1:
-                            yield from flush(chunk, sets, index, docs)
-                            chunk, sets, index, docs, seen, size = chunk + 1, [], [], [], {}, 0
+                            yield from flush(chunk, held[:size], docs)
+                            chunk, docs, seen, size = chunk + 1, [], set(), 0
             if docs:
-                yield from flush(chunk, sets, index, docs)
+                yield from flush(chunk, held[:size], docs)
 
         yield from _by_size(rows())
 
@@ -331,7 +329,7 @@ def jaccard_components(docs: DataFrame, percent: int = 80, chunk_tokens: int = 1
     prefix = materialize(prefix.filter(F.col("rank") <= F.col("common") - needed + 1).select("nid", "token"), "prefix")
     stars = prefix.groupBy("token").agg(F.min("nid").alias("b"))
     edges = prefix.join(stars, "token").filter("nid <> b").select(F.col("nid").alias("a"), "b").distinct()
-    family = components(edges).select(F.col("node").alias("nid"), F.col("label").alias("family"))
+    family = components(materialize(edges, "stars")).select(F.col("node").alias("nid"), F.col("label").alias("family"))
 
     members = materialize(sets.select("nid", "n").join(family, "nid"), "families")
     number = lambda: F.ceil(F.greatest(F.count("*") / block_docs, F.sum("n") / block_tokens)).cast("int")

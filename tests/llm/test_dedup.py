@@ -8,8 +8,10 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 
 from tessera.llm.dedup_exact import Patricia, _merge, exact_duplicates
+from tessera.llm.graph import components, least_labels
 from tessera.llm.ngram_join import jaccard_components, link_group
 from tessera.llm.suffix_dedup import merged, repeated_spans
+from tessera.shared import materialize
 
 
 @settings(max_examples=60, deadline=None)
@@ -157,3 +159,47 @@ def test_large_families(spark, block):
     table = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
     got = jaccard_components(table, chunk_tokens=3000, block_docs=block).collect()
     assert sorted([tuple(r) for r in got], key=str) == _components(table.collect())
+
+
+@settings(max_examples=60, deadline=None)
+@given(st.lists(st.tuples(st.integers(-9, 30), st.integers(-9, 30)), max_size=40))
+def test_least_labels(edges):
+    nodes, labels = least_labels(*(np.array([e[i] for e in edges], np.int64) for i in (0, 1)))
+    root = {x: x for e in edges for x in e}
+    for a, b in edges:
+        x, y = sorted((root[a], root[b]))
+        root = {k: x if r == y else r for k, r in root.items()}
+    assert dict(zip(nodes.tolist(), labels.tolist(), strict=True)) == root
+
+
+def test_components_of_few_edges_need_few_jobs(spark):
+    """A path has the most rounds. Both ways give the same labels, and few edges are joined without a round of jobs."""
+    path = materialize(spark.range(300).selectExpr("id a", "id + 1 b"), "path")
+    got = {}
+    for most in (1000, 10):
+        spark.sparkContext.setJobGroup(f"components {most}", "")
+        got[most] = sorted(map(tuple, components(path, most).collect()))
+        spark.sparkContext.setJobGroup("", "")
+    assert got[1000] == got[10] == [(i, 0) for i in range(301)]
+    jobs = [len(spark.sparkContext.statusTracker().getJobIdsForGroup(f"components {most}")) for most in (1000, 10)]
+    assert jobs[0] <= 6 < jobs[1]
+
+
+def test_chunks_hold_their_shingles_once(monkeypatch):
+    """A full chunk is sorted in place: less than twice its shingles are held at once."""
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from tessera.llm import ngram_join
+
+    rng = np.random.default_rng(0)
+    sets = [np.unique(rng.integers(0, (1 << 64) - 1, 1000, dtype=np.uint64)) for _ in range(1000)]
+    monkeypatch.setattr(ngram_join, "shingle_sets", lambda texts: (sets[int(t)].copy() for t in texts))
+    monkeypatch.setattr(ngram_join, "TaskContext", type("Task", (), {"get": classmethod(lambda c: c), "partitionId": classmethod(lambda c: 0)}))
+    rows = pa.record_batch([pa.array(range(1000)), pa.array(range(1000)), pa.array(list(map(str, range(1000))))], names=["id", "th", "text"])
+    tracemalloc.start()
+    seen = sum(batch.num_rows for batch in ngram_join._chunks(8, 1_000_000)(iter([rows])))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert seen == 1000 + 256 and peak < 2.5 * 8_000_000
