@@ -46,7 +46,7 @@ def default_tokenizer() -> str:
 def encoder(path: str | None = None):
     """A function from a list of texts to a list of id lists; loaded once per process, from where this machine has the file."""
     path = path or default_tokenizer()
-    loaded = process_cache().setdefault("encoders", {})
+    loaded = process_cache("encoders")
     if path not in loaded:
         import json
 

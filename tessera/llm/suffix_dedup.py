@@ -107,7 +107,7 @@ _RUNS = "gram long, ctx long, id long, text_hash long, at long, windows int, bac
 def _sums(values: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Prefix sums of the units' polynomial and the inverse powers that place a piece of it at zero."""
     n = len(values) + 1
-    powers = process_cache().setdefault("window powers", [])
+    powers = process_cache("windows").setdefault("powers", [])
     if not powers or len(powers[0]) < n:
         both, size = [], max(n, 1 << 16)
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):

@@ -40,3 +40,11 @@ def test_work_folders_of_a_stage_go(spark, tmp_path):
     assert tables[-1].count() == 5 and shared.made() == mark + 1
     with pytest.raises(Exception, match="(?i)not exist|no such"):
         tables[0].count()
+
+
+def test_a_cache_goes_when_another_operator_needs_one():
+    from tessera.shared import process_cache
+
+    process_cache("encoders")["x"] = 1
+    assert process_cache("encoders") == {"x": 1}
+    assert process_cache("shingles") == {} and process_cache("encoders") == {}
