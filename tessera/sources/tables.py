@@ -88,6 +88,23 @@ def write_lists(lists: DataFrame, path: str, entity: str, order: str, matches: s
         write_tsv(lists.orderBy(order).select(F.col(entity).alias("source1_entity_id"), F.col(column).alias(header)), f"{path}/{name}.tsv")
 
 
+def write_block_lists(entities: DataFrame, blocks: DataFrame, on: list[str], path: str, entity: str, order: str, lists: dict, most: int = 64 << 20) -> None:
+    """The result lists of entities whose candidates are the whole block that they share columns ``on`` with: lists are made in the row that
+    is written, and no pair or list is shuffled. blocks: materialized, ``on``, the column ids and what else lists need; lists: name of a
+    file to its header and a column. Entities are dealt in the given order before they meet blocks, which are
+    copied to all where they have ``most`` characters at most; more of them meet first, and rows are dealt then."""
+    size, total = (x or 0 for x in blocks.select(F.length("ids").alias("_n"), *on).join(entities.groupBy(*on).agg(F.count("*").alias("_k")), on, "left").agg(F.sum("_n"), F.sum(F.col("_n") * F.col("_k"))).first())
+    # Rows are sorted with their lists: about 32 MB a part.
+    parts = max(int(entities.sparkSession.conf.get("spark.sql.shuffle.partitions")), total >> 25)
+    if size <= most:
+        rows = entities.repartitionByRange(parts, order).join(F.broadcast(blocks), on, "left")
+    else:
+        rows = entities.join(blocks, on, "left").repartitionByRange(parts, order)
+    rows = rows.sortWithinPartitions(order)
+    for name, (header, column) in lists.items():
+        write_tsv(rows.select(F.col(entity).alias("source1_entity_id"), F.coalesce(column, F.lit("")).alias(header)), f"{path}/{name}.tsv")
+
+
 def read_lists(spark: SparkSession, path: str) -> DataFrame:
     """s1_id, ids of a result list, whatever its header; rows without a tab have no ids."""
     fields = F.split("value", "\t", 2)
