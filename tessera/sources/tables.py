@@ -8,11 +8,14 @@ from __future__ import annotations
 
 import json
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tessera.functions.address import ADDRESS_VIEWS, address_views
 from tessera.functions.text import NAME_VIEWS, country, name_views
+from tessera.shared import join_slim, materialize, ranked
 
 RAW = ("entity_id", "business_name", "business_address", "country")
 
@@ -26,8 +29,47 @@ def read_tsv(spark: SparkSession, path: str, columns: tuple = RAW, position: str
     return df.select(*named, *([place.alias(position)] if position else []))
 
 
-def write_tsv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").csv(path, sep="\t", header=True, quote="", escape="", emptyValue="")
+def write_tsv(df: DataFrame, path: str, compression: str = "none") -> None:
+    # Compressed fast: what is saved is the disk that files of long lists take until they are read.
+    writer = df.write.mode("overwrite").option("compression", compression).option("zlib.compress.level", "BEST_SPEED")
+    writer.csv(path, sep="\t", header=True, quote="", escape="", emptyValue="")
+
+
+def packed(text: Column) -> Column:
+    """Texts of many bytes as binaries of few, to be shuffled: the length in 8 bytes, and Zstandard."""
+
+    def run(texts: pd.Series) -> pd.Series:
+        codec = pa.Codec("zstd", 1)
+        return texts.map(lambda t: len(b := t.encode()).to_bytes(8) + codec.compress(b, asbytes=True))
+
+    return F.pandas_udf(run, "binary")(text)
+
+
+def unpacked(binary: Column) -> Column:
+    def run(binaries: pd.Series) -> pd.Series:
+        codec = pa.Codec("zstd")
+        return binaries.map(lambda b: codec.decompress(memoryview(b)[8:], int.from_bytes(b[:8]), asbytes=True).decode())
+
+    return F.pandas_udf(run, "string")(binary)
+
+
+def rows_of_both(spark: SparkSession, one: tuple[str, str], two: tuple[str, str], entity: str = "source1_entity_id", parts: int = 8) -> DataFrame:
+    """place (from 0), entity and a list of each of two result files, (path, header), in which every entity has one row: rows that have the
+    same place and entity in both. Places are found without the lists, which are shuffled once, packed."""
+
+    def lines(file: tuple[str, str]) -> DataFrame:
+        # The two columns that write_tsv writes: a parser of any columns takes several times as long over long lists.
+        rows = spark.read.text(file[0]).filter(F.col("value") != f"{entity}\t{file[1]}")
+        at = F.struct("_metadata.file_path", F.col("_metadata.file_block_start").alias("start"), F.monotonically_increasing_id().alias("row"))
+        name = F.substring_index("value", "\t", 1)
+        return rows.select(name.alias(entity), F.expr("substring(value, instr(value, '\t') + 1)").alias(file[1]), at.alias("at"), F.lit(1).alias("file"))
+
+    place = lambda file: ranked(lines(file).select(entity, "file", "at"), ["file"], [F.col("at")], parts).select(entity, (F.col("rank") - 1).alias("place"))
+    places = materialize(place(one).join(place(two), ["place", entity]), "places")
+    a, b = (lines(file).select(entity, packed(F.col(file[1])).alias(file[1])) for file in (one, two))
+    # Lists are many times their number of rows: the optimizer's sizes would have one of them sent to all.
+    met = a.hint("shuffle_merge").join(b, entity)
+    return join_slim(met, places, [entity], "inner").select("place", entity, *[unpacked(F.col(c)).alias(c) for c in (one[1], two[1])])
 
 
 def truth_pairs(lines: DataFrame, text: str = "value", order: str | None = None) -> DataFrame:
@@ -88,7 +130,7 @@ def write_lists(lists: DataFrame, path: str, entity: str, order: str, matches: s
         write_tsv(lists.orderBy(order).select(F.col(entity).alias("source1_entity_id"), F.col(column).alias(header)), f"{path}/{name}.tsv")
 
 
-def write_block_lists(entities: DataFrame, blocks: DataFrame, on: list[str], path: str, entity: str, order: str, lists: dict, most: int = 64 << 20) -> None:
+def write_block_lists(entities: DataFrame, blocks: DataFrame, on: list[str], path: str, entity: str, order: str, lists: dict, most: int = 64 << 20, compression: str = "none") -> None:
     """The result lists of entities whose candidates are the whole block that they share columns ``on`` with: lists are made in the row that
     is written, and no pair or list is shuffled. blocks: materialized, ``on``, the column ids and what else lists need; lists: name of a
     file to its header and a column. Entities are dealt in the given order before they meet blocks, which are
@@ -102,7 +144,7 @@ def write_block_lists(entities: DataFrame, blocks: DataFrame, on: list[str], pat
         rows = entities.join(blocks, on, "left").repartitionByRange(parts, order)
     rows = rows.sortWithinPartitions(order)
     for name, (header, column) in lists.items():
-        write_tsv(rows.select(F.col(entity).alias("source1_entity_id"), F.coalesce(column, F.lit("")).alias(header)), f"{path}/{name}.tsv")
+        write_tsv(rows.select(F.col(entity).alias("source1_entity_id"), F.coalesce(column, F.lit("")).alias(header)), f"{path}/{name}.tsv", compression)
 
 
 def read_lists(spark: SparkSession, path: str) -> DataFrame:
